@@ -106,3 +106,27 @@ def dim_time(trips: DataFrame, ts: str = "dropoff_datetime") -> DataFrame:
                        C.day_name("d").alias("weekday"), C.month_of("d").alias("month"),
                        C.year_of("d").alias("year"), C.season_north(C.month_of("d")).alias("season"),
                        C.is_weekend("d").alias("is_weekend"), F.lit(False).alias("is_holiday"))
+
+
+def dim_date_between(trips: DataFrame, start: str = "pickup_datetime", end: str = "dropoff_datetime") -> DataFrame:
+    """``dim_date`` over the span of the data (earliest start to latest end)."""
+    from farelake.sources.readers import calendar_between
+    d = calendar_between(trips, start, end, "date")
+    return d.select(C.date_key("date").alias("sk_date"), "date", C.day_of_month("date").alias("day"),
+                    C.month_of("date").alias("month"), C.year_of("date").alias("year"),
+                    C.day_name("date").alias("day_of_week"), C.day_of_week("date").alias("week_day"))
+
+
+def extend_dimension(existing: DataFrame | None, incoming: DataFrame, natural: str, sk: str) -> DataFrame:
+    """Keep the keys already given and number only the new natural keys,
+    after the current maximum: keys stay stable across monthly runs."""
+    if existing is None:
+        return dense_index(incoming, [natural], sk)
+    new = incoming.join(existing.select(natural), natural, "left_anti")
+    top = existing.agg(F.coalesce(F.max(sk), F.lit(0)).alias("__top"))
+    numbered = dense_index(new, [natural], "__k")
+    # ``top`` is one row: joined on a constant key, broadcast.
+    numbered = (numbered.withColumn("__one", F.lit(1))
+                .join(F.broadcast(top.withColumn("__one", F.lit(1))), "__one")
+                .withColumn(sk, F.col("__top") + F.col("__k")).drop("__one", "__top", "__k"))
+    return existing.unionByName(numbered.select(*existing.columns))

@@ -1 +1,174 @@
-"""placeholder"""
+"""Registered queries: dimensions, facts, keys and type-2 history
+(inventory section 2.12)."""
+
+from __future__ import annotations
+
+from farelake import fixed
+from farelake.operators import dims as D
+from farelake.operators import facts as FT
+from farelake.operators.scd2 import scd2_merge
+from farelake.plans import fixtures as fx
+from farelake.plans.catalog import DUR, WT, T, register
+from farelake.plans.q_sources import CONFORMED_SQL, conformed_all
+
+
+def _dense_sql(sk: str, col: str, src: str) -> str:
+    return (f"SELECT row_number() OVER (ORDER BY {col}) AS {sk}, {col} "
+            f"FROM (SELECT DISTINCT CAST({col} AS BIGINT) AS {col} FROM {src} WHERE {col} IS NOT NULL)")
+
+
+def _label_sql(col: str, labels: dict, default: str) -> str:
+    def q(v):
+        return f"'{v}'" if isinstance(v, str) else str(v)
+    whens = " ".join(f"WHEN {col} = {q(k)} THEN {q(v)}" for k, v in labels.items())
+    return f"CASE {whens} ELSE '{default}' END"
+
+
+def _coded_sql(sk, col, label_col, labels, default, src="t"):
+    return (f"SELECT {sk}, {col}, {_label_sql(col, labels, default)} AS {label_col} "
+            f"FROM ({_dense_sql(sk, col, src)})")
+
+
+@register("dim_vendor", f"{WT} {_coded_sql('sk_vendor', 'id_vendor', 'vendor_description', fixed.VENDOR_LABELS, fixed.VENDOR_DEFAULT)}")
+def q_dim_vendor(spark, d):
+    return D.dim_vendor(T(spark, d))
+
+
+@register("dim_payment_type", f"{WT} {_coded_sql('sk_payment_type', 'id_payment_type', 'payment_type_description', fixed.PAYMENT_LABELS, fixed.PAYMENT_DEFAULT)}")
+def q_dim_payment_type(spark, d):
+    return D.dim_payment_type(T(spark, d))
+
+
+@register("dim_rate", f"{WT} {_coded_sql('sk_ratecode', 'id_rate', 'ratecode_description', fixed.RATE_LABELS, fixed.RATE_DEFAULT)}")
+def q_dim_rate(spark, d):
+    return D.dim_rate(T(spark, d))
+
+
+def _svc_sql(i: int, col: str = "id_service_type") -> str:
+    labels = {k: v[i] for k, v in fixed.SERVICE_LABELS.items()}
+    return _label_sql(col, labels, fixed.SERVICE_DEFAULT)
+
+
+SERVICE_DIM_SQL = f"""SELECT row_number() OVER (ORDER BY id_service_type) AS sk_service_type, id_service_type,
+  {_svc_sql(0)} AS description, {_svc_sql(1)} AS category, {_svc_sql(2)} AS regulation_body
+FROM (SELECT DISTINCT service_type AS id_service_type FROM {{src}} WHERE service_type IS NOT NULL)"""
+
+
+@register("dim_service_type", f"{WT} {SERVICE_DIM_SQL.format(src='t')}")
+def q_dim_service_type(spark, d):
+    return D.dim_service_type(T(spark, d))
+
+
+@register("dim_location", f"""
+SELECT row_number() OVER (ORDER BY id_location) AS sk_location, id_location, borough, zone, service_zone
+FROM (SELECT TRY_CAST(LocationID AS BIGINT) AS id_location, Borough AS borough, Zone AS zone, service_zone
+      FROM ({fx.ZONES_SQL}))""")
+def q_dim_location(spark, d):
+    return D.dim_location(fx.zones(spark, d))
+
+
+COMPANY_DIM_SQL = f"""SELECT row_number() OVER (ORDER BY id_hvfhs_license_num, app_company_affiliation) AS sk_company_hv,
+  id_hvfhs_license_num, app_company_affiliation
+FROM (SELECT DISTINCT "High Volume" AS id_hvfhs_license_num, upper("App Company Affiliation") AS app_company_affiliation
+      FROM ({fx.COMPANIES_SQL}) WHERE "High Volume" IS NOT NULL AND "App Company Affiliation" IS NOT NULL)"""
+
+LICENCE_DIM_SQL = f"""SELECT row_number() OVER (ORDER BY id_license_number, app_company_affiliation) AS sk_license_number,
+  id_license_number, app_company_affiliation
+FROM (SELECT DISTINCT "LICENSEE NUMBER" AS id_license_number, "NAME OF LICENSEE NORMALIZED" AS app_company_affiliation
+      FROM ({fx.LICENCES_SQL}) WHERE "LICENSEE NUMBER" IS NOT NULL AND "NAME OF LICENSEE NORMALIZED" IS NOT NULL)"""
+
+
+@register("dim_companies_hv", COMPANY_DIM_SQL)
+def q_dim_companies_hv(spark, d):
+    return D.dim_companies_hv(fx.companies(spark, d))
+
+
+@register("dim_license_number", LICENCE_DIM_SQL)
+def q_dim_license_number(spark, d):
+    return D.dim_license_number(fx.licences(spark, d))
+
+
+@register("dim_date", f"""{WT},
+days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date
+         FROM (SELECT min(CAST(pickup_datetime AS DATE)) AS lo, max(CAST(dropoff_datetime AS DATE)) AS hi FROM t))
+SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS sk_date, date, CAST(day(date) AS INTEGER) AS day,
+       CAST(month(date) AS INTEGER) AS month, CAST(year(date) AS INTEGER) AS year, dayname(date) AS day_of_week,
+       CAST(dayofweek(date) + 1 AS INTEGER) AS week_day FROM days""")
+def q_dim_date(spark, d):
+    return D.dim_date_between(T(spark, d))
+
+
+@register("dim_time", f"""{WT},
+days AS (SELECT DISTINCT CAST(dropoff_datetime AS DATE) AS d FROM t WHERE dropoff_datetime IS NOT NULL)
+SELECT CAST(strftime(d, '%d%m%Y') AS INTEGER) AS sk_time, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date,
+       dayname(d) AS weekday, CAST(month(d) AS INTEGER) AS month, CAST(year(d) AS INTEGER) AS year,
+       CASE WHEN month(d) = 12 OR month(d) <= 2 THEN 'Winter' WHEN month(d) <= 5 THEN 'Spring'
+            WHEN month(d) <= 8 THEN 'Summer' WHEN month(d) <= 11 THEN 'Fall' END AS season,
+       dayofweek(d) IN (0, 6) AS is_weekend, FALSE AS is_holiday FROM days""")
+def q_dim_time(spark, d):
+    return D.dim_time(T(spark, d))
+
+
+FACT_SQL = f"""WITH c AS ({CONFORMED_SQL}),
+dv AS ({_dense_sql('sk', 'id_vendor', 'c')}),
+dp AS ({_dense_sql('sk', 'id_payment_type', 'c')}),
+dr AS ({_dense_sql('sk', 'id_rate', 'c')}),
+ds AS ({SERVICE_DIM_SQL.format(src='c')}),
+co AS ({COMPANY_DIM_SQL}),
+li AS ({LICENCE_DIM_SQL})
+SELECT dp.sk AS fk_payment_type, dr.sk AS fk_ratecode, dv.sk AS fk_vendor, ds.sk_service_type AS fk_service_type,
+       c.service_type, li.sk_license_number AS fk_license_number, co.sk_company_hv AS fk_company_hv,
+       c.pickup_datetime, CAST(strftime(c.pickup_datetime, '%Y%m%d') AS INTEGER) AS pickup_date,
+       c.dropoff_datetime, CAST(strftime(c.dropoff_datetime, '%Y%m%d') AS INTEGER) AS dropoff_date,
+       c.id_location_pickup, c.id_location_dropoff, c.passenger_count, c.trip_distance, c.fare_amount, c.extra,
+       c.mta_tax, c.tip_amount, c.tolls_amount, c.total_amount,
+       CAST(year(c.pickup_datetime) AS INTEGER) AS year, CAST(month(c.pickup_datetime) AS INTEGER) AS month
+FROM c LEFT JOIN dv ON c.id_vendor = dv.id_vendor LEFT JOIN dp ON c.id_payment_type = dp.id_payment_type
+LEFT JOIN dr ON c.id_rate = dr.id_rate LEFT JOIN ds ON c.service_type = ds.id_service_type
+LEFT JOIN co ON c.id_hvfhs_license_num = co.id_hvfhs_license_num
+LEFT JOIN li ON c.id_license_number = li.id_license_number"""
+
+
+def build_fact(spark, d, with_key: bool = False):
+    trips = conformed_all(spark, d)
+    fact = FT.fact_trip(trips, D.dim_vendor(trips), D.dim_payment_type(trips), D.dim_rate(trips),
+                        D.dim_service_type(trips), D.dim_companies_hv(fx.companies(spark, d)),
+                        D.dim_license_number(fx.licences(spark, d)))
+    return fact if with_key else fact.drop("sk_trip")
+
+
+@register("fact_trip", FACT_SQL)
+def q_fact_trip(spark, d):
+    return build_fact(spark, d)
+
+
+WIDE_SQL = f"""SELECT c.*, {DUR()} AS trip_duration_minutes, CAST(pickup_datetime AS DATE) AS pickup_date,
+  CAST(dropoff_datetime AS DATE) AS dropoff_date, dayname(pickup_datetime) AS weekday,
+  CAST(hour(pickup_datetime) AS INTEGER) AS hour, CAST(strftime(dropoff_datetime, '%d%m%Y') AS INTEGER) AS fk_time,
+  CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetime) AS INTEGER) AS month
+FROM ({CONFORMED_SQL}) c"""
+
+
+@register("fact_trip_wide", WIDE_SQL)
+def q_fact_trip_wide(spark, d):
+    return FT.fact_trip_wide(conformed_all(spark, d))
+
+
+SCD2_SQL = f"""WITH cur AS ({fx.SCD2_CURRENT_SQL}), snap AS ({fx.SCD2_SNAPSHOT_SQL}),
+hist AS (SELECT * FROM cur WHERE NOT is_current),
+op AS (SELECT * FROM cur WHERE is_current),
+j AS (SELECT COALESCE(op.id, snap.id) AS id, op.name AS c_name, op.segment AS c_segment, op.effective_date AS c_eff,
+             op.end_date AS c_end, op.id IS NOT NULL AS in_c, snap.name AS n_name, snap.segment AS n_segment,
+             snap.id IS NOT NULL AS in_n
+      FROM op FULL OUTER JOIN snap ON op.id = snap.id),
+k AS (SELECT *, in_c AND in_n AND (c_name IS DISTINCT FROM n_name OR c_segment IS DISTINCT FROM n_segment) AS changed FROM j)
+SELECT id, name, segment, effective_date, end_date, is_current FROM hist
+UNION ALL
+SELECT id, c_name, c_segment, c_eff, CASE WHEN changed THEN DATE '2024-06-01' ELSE c_end END, NOT changed FROM k WHERE in_c
+UNION ALL
+SELECT id, n_name, n_segment, DATE '2024-06-01', CAST(NULL AS DATE), TRUE FROM k WHERE in_n AND (NOT in_c OR changed)"""
+
+
+@register("scd2_merge", SCD2_SQL)
+def q_scd2_merge(spark, d):
+    return scd2_merge(fx.scd2_snapshot(spark, d), fx.scd2_current(spark, d), "id", ["name", "segment"], "2024-06-01")
