@@ -24,11 +24,11 @@ def table(spark: SparkSession, d: str, name: str, with_source: bool = False) ->
     return df
 
 
-_SERVICE_CASE = (F.when(F.col("o_orderpriority") == "1-URGENT", "yellowTaxi")
-                 .when(F.col("o_orderpriority") == "2-HIGH", "greenTaxi")
-                 .when(F.col("o_orderpriority") == "3-MEDIUM", "forHireVehicle")
-                 .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "highVolumeForHire")
-                 .otherwise("other"))
+def _service_case():
+    p = F.col("o_orderpriority")
+    return (F.when(p == "1-URGENT", "yellowTaxi").when(p == "2-HIGH", "greenTaxi")
+            .when(p == "3-MEDIUM", "forHireVehicle").when(p == "4-NOT SPECIFIED", "highVolumeForHire")
+            .otherwise("other"))
 
 
 def trips(spark: SparkSession, d: str, with_source: bool = False) -> DataFrame:
@@ -45,7 +45,7 @@ def trips(spark: SparkSession, d: str, with_source: bool = False) -> DataFrame:
            .join(s, li.l_suppkey == s.s_suppkey)
            .join(p, li.l_partkey == p.p_partkey))
     cols = [
-        _SERVICE_CASE.alias("service_type"),
+        _service_case().alias("service_type"),
         F.col("o_orderdate").alias("pickup_datetime"),
         F.col("l_shipdate").alias("dropoff_datetime"),
         F.col("s_nationkey").alias("id_location_pickup"),
