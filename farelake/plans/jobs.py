@@ -32,7 +32,7 @@ from farelake.operators.conform import cast_columns, conform_service
 from farelake.sinks import writers as W
 from farelake.sources import readers as RD
 
-FILE_NAME_PATTERN = r"_(\d{4})-(\d{2})\.parquet$"
+FILE_NAME_PATTERN = r"_(\d{4})-(\d{2})\.parquet"
 
 
 def raw_file_path(raw_root: str, service: str, prefix: str, year: int, month: int) -> str:
@@ -64,8 +64,8 @@ def job_raw_to_trusted(spark: SparkSession, raw_root: str, trusted_root: str, ye
             continue
         df = (spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true").parquet(*paths)
               .withColumn("__f", F.col("_metadata.file_path")))
-        df = df.withColumns({"year": F.regexp_extract("__f", FILE_NAME_PATTERN, 1).cast("int"),
-                             "month": F.regexp_extract("__f", FILE_NAME_PATTERN, 2).cast("int")}).drop("__f")
+        df = df.withColumns({"year": F.regexp_extract("__f", FILE_NAME_PATTERN, 1).try_cast("int"),
+                             "month": F.regexp_extract("__f", FILE_NAME_PATTERN, 2).try_cast("int")}).drop("__f")
         cleaned = Q.apply_cleaning(df, service, fhv_profile=fhv_profile)
         target = f"{trusted_root.rstrip('/')}/{service}"
         W.write_partitioned(cleaned, target, max_files=max_files)

@@ -31,8 +31,8 @@ def stream_raw_to_trusted(spark: SparkSession, raw_dir: str, trusted_dir: str, s
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
            .option("recursiveFileLookup", "true").parquet(raw_dir))
     src = src.withColumn("__f", F.col("_metadata.file_path"))
-    src = src.withColumns({"year": F.regexp_extract("__f", FILE_NAME_PATTERN, 1).cast("int"),
-                           "month": F.regexp_extract("__f", FILE_NAME_PATTERN, 2).cast("int")}).drop("__f")
+    src = src.withColumns({"year": F.regexp_extract("__f", FILE_NAME_PATTERN, 1).try_cast("int"),
+                           "month": F.regexp_extract("__f", FILE_NAME_PATTERN, 2).try_cast("int")}).drop("__f")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         write_partitioned(apply_cleaning(batch, service, fhv_profile=fhv_profile), trusted_dir,
