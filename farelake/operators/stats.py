@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake.operators.joins import checked_broadcast
+from farelake.session import ensure_checkpoint_dir
 
 
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -35,7 +36,8 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    *, num_partitions: int | None = None, out: str = "value") -> DataFrame:
+                    *, num_partitions: int | None = None, out: str = "value",
+                    checkpoint: bool = False) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value`` per ``by`` group.
 
     Returns one row per (group, p): ``*by, p, <out>``. Nulls are ignored.
@@ -46,6 +48,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     vc = (df.where(F.col(value).isNotNull())
             .groupBy(*by, F.col(value).cast("double").alias("__v"))
             .agg(F.count(F.lit(1)).alias("__c")))
+    if checkpoint:
+        # With AQE the aggregation's shuffle output is materialised once and
+        # reused by the range partitioner's sampling job, so the source is not
+        # re-read; ``checkpoint=True`` additionally cuts the lineage (shared
+        # checkpoint folder) for very long upstream plans.
+        ensure_checkpoint_dir(df.sparkSession)
+        vc = vc.checkpoint(eager=True)
     ranged = (vc.repartitionByRange(n_parts, *by, "__v")
                 .withColumn("__pid", F.spark_partition_id()))
     run = Window.partitionBy(*by, "__pid").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -202,10 +211,13 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = 2)
     pairs = ", ".join(f"'{n.split('|')[0]}', '{n.split('|')[1]}', `{n}`" for n in one.columns)
     long_simple = one.selectExpr(f"stack({len(one.columns)}, {pairs}) AS (stat, column, value)")
     labels = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
-    qs = [exact_quantiles(df, c, list(labels)).select(
-            F.element_at(F.create_map(*[v for k, lab in labels.items() for v in (F.lit(k), F.lit(lab))]),
-                         F.col("p")).alias("stat"),
-            F.lit(c).alias("column"), F.col("value")) for c in cols]
+    # all columns' quartiles in one pass: (column, value) rows, grouped by column
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("__s")
+    ).select("__s.column", "__s.value")
+    lab = F.create_map(*[v for k, name in labels.items() for v in (F.lit(k), F.lit(name))])
+    qs = [exact_quantiles(stacked, "value", list(labels), ["column"]).select(
+        F.element_at(lab, F.col("p")).alias("stat"), "column", "value")]
     long = reduce(lambda a, b: a.unionByName(b), [long_simple] + qs)
     if digits is not None:
         long = long.withColumn("value", F.round("value", digits))

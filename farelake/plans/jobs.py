@@ -42,7 +42,7 @@ def raw_file_path(raw_root: str, service: str, prefix: str, year: int, month: in
 def job_raw_to_trusted(spark: SparkSession, raw_root: str, trusted_root: str, years: Sequence[int],
                        months: Sequence[int] = range(1, 13), *,
                        services: Mapping[str, str] = fixed.SERVICE_BY_FILE_PREFIX,
-                       fhv_profile: str = "current", max_files: int = 4) -> tuple[DataFrame, DataFrame]:
+                       fhv_profile: str = "current", max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Clean every wanted monthly file into ``trusted_root/<service>/year=/month=``.
 
     Returns (report, rejects): rows written per service/year/month (read
@@ -154,7 +154,7 @@ def job_trusted_to_dw(spark: SparkSession, trusted_root: str, dw_root: str, year
     W.write_table(D.dim_time(trips), f"{dw}/dim_time")
 
     fact = FT.fact_trip(trips, vendor, payment, rate, service, comp, lic)
-    W.write_partitioned(fact, f"{dw}/fact_taxi_trip", max_files=4)
+    W.write_partitioned(fact, f"{dw}/fact_taxi_trip")
     return RD.scan_partitioned(spark, f"{dw}/fact_taxi_trip", years, months)
 
 

@@ -2,9 +2,9 @@
 
 Partitioned writes use dynamic partition overwrite: only the year/month
 partitions present in the output are replaced, so re-running one month is
-idempotent and leaves every other month alone. Output files are shaped with
-``repartition`` on the partition columns (one writer per partition, spread
-over the cluster) rather than ``coalesce(1)``, which would funnel a whole fact
+idempotent and leaves every other month alone. Output files are shaped by
+an AQE ``rebalance`` on the partition columns (hot partitions split, small
+ones merged) rather than ``coalesce(1)``, which would funnel a whole fact
 through one task.
 """
 
@@ -23,12 +23,21 @@ def limit_output_files(df: DataFrame, n: int) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, year: int | None = None, month: int | None = None,
-                      *, max_files: int | None = 4, partition_cols: Sequence[str] = ("year", "month")) -> None:
+                      *, max_files: int | None = None, max_records_per_file: int | None = None,
+                      partition_cols: Sequence[str] = ("year", "month")) -> None:
     """Write under ``year=/month=``, replacing only the partitions written.
 
     ``year``/``month`` given -> added as literal columns (one file's month).
-    ``max_files`` bounds the files per partition: rows are hash-spread over
-    ``max_files`` buckets per partition value.
+    File layout:
+
+    * default: a ``rebalance`` hint on the partition columns. AQE groups the
+      rows of each partition value together and splits big ones (a month
+      holding a third of the data) into advisory-sized tasks
+      (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so files are
+      neither tiny nor huge at any scale;
+    * ``max_files``: at most that many files per partition value (rows are
+      hash-spread over ``max_files`` buckets) — the bounded layout for one
+      monthly file.
     """
     out = df
     if year is not None:
@@ -39,8 +48,12 @@ def write_partitioned(df: DataFrame, path: str, year: int | None = None, month:
     if max_files:
         out = out.repartition(*[F.col(c) for c in cols],
                               (F.abs(F.xxhash64(*[F.col(c) for c in out.columns])) % max_files))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*cols).parquet(path))
+    else:
+        out = out.hint("rebalance", *cols)
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", int(max_records_per_file))
+    w.partitionBy(*cols).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] | None = None) -> None:
@@ -92,9 +105,14 @@ def replace_partition(df: DataFrame, path: str, year: int, month: int) -> None:
 
 def stamp_load_time(df: DataFrame, tz: str = "America/Sao_Paulo", now: _dt.datetime | None = None,
                     out: str = "load_datetime") -> DataFrame:
-    """Load time in ``tz``; ``now`` (a UTC instant) can be injected for tests."""
-    instant = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    return df.withColumn(out, F.from_utc_timestamp(instant, tz))
+    """Wall-clock load time in ``tz`` (``timestamp_ntz``, independent of the
+    session time zone); ``now`` (a naive UTC instant) can be injected for tests."""
+    if now is None:
+        stamp = F.convert_timezone(None, F.lit(tz), F.current_timestamp().cast("timestamp_ntz"))
+    else:
+        utc = F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+        stamp = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+    return df.withColumn(out, stamp)
 
 
 def passthrough_copy(spark: SparkSession, src: str, dst: str, year: int, month: int) -> None:

@@ -24,7 +24,7 @@ from farelake.sinks.writers import write_partitioned
 
 def stream_raw_to_trusted(spark: SparkSession, raw_dir: str, trusted_dir: str, service: str,
                           schema: T.StructType, *, checkpoint: str | None = None,
-                          files_per_batch: int = 12, fhv_profile: str = "current", max_files: int = 4):
+                          files_per_batch: int = 12, fhv_profile: str = "current", max_files: int | None = None):
     """Process every not-yet-seen monthly file of ``service`` under ``raw_dir``
     (``<prefix>_<yyyy>-<mm>.parquet``, any depth) and return the finished query."""
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-raw-to-trusted/{service}"
