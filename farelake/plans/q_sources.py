@@ -497,3 +497,10 @@ def q_fn_round(spark, d):
 def q_fn_conditional(spark, d):
     return T(spark, d).select("trip_distance", C.conditional(F.col("trip_distance") < 0, 0.0, F.col("trip_distance"))
                               .alias("distance_floor0"))
+
+
+@register("passthrough_copy", "SELECT *, 1996 AS year, 7 AS month FROM orders")
+def q_passthrough_copy(spark, d):
+    dst = scratch(spark, "passthrough")
+    W.passthrough_copy(spark, f"{d}/orders.parquet", dst, 1996, 7)
+    return RD.scan_partitioned(spark, dst)

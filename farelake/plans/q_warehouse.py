@@ -177,3 +177,10 @@ SELECT id, n_name, n_segment, DATE '2024-06-01', CAST(NULL AS DATE), TRUE FROM k
 @register("scd2_merge", SCD2_SQL)
 def q_scd2_merge(spark, d):
     return scd2_merge(fx.scd2_snapshot(spark, d), fx.scd2_current(spark, d), "id", ["name", "segment"], "2024-06-01")
+
+
+@register("surrogate_key", "SELECT row_number() OVER (ORDER BY c_nationkey, c_custkey) AS sk_customer, * FROM customer")
+def q_surrogate_key(spark, d):
+    from farelake.operators.keys import dense_index
+    c = fx.table(spark, d, "customer")
+    return dense_index(c, ["c_nationkey", "c_custkey"], "sk_customer")
