@@ -28,13 +28,36 @@ def union_labelled(parts: Mapping[str, tuple[DataFrame, str, str]], axis: str =
     return union_strict(frames)
 
 
+COPY_CHUNK = 10_000
+
+
 def rows_removed(before: DataFrame, after: DataFrame, cols: Sequence[str] | None = None,
-                 distinct: bool = True) -> DataFrame:
-    """Rows of ``before`` not in ``after`` on ``before``'s columns:
-    EXCEPT DISTINCT (``subtract``) or EXCEPT ALL (``exceptAll``)."""
+                 distinct: bool = True, chunk: int = COPY_CHUNK) -> DataFrame:
+    """Rows of ``before`` not in ``after`` on ``before``'s columns.
+
+    ``distinct=True``: EXCEPT DISTINCT. Both sides are de-duplicated first
+    (partial aggregation collapses copies before any shuffle), then a
+    null-safe anti join, so a group of copies never lands whole in one task.
+
+    ``distinct=False``: EXCEPT ALL. Net copies per distinct row are
+    ``count(before) - count(after)`` (one aggregation over a tagged union).
+    Rows are re-expanded in chunks of at most ``chunk`` copies, and the chunks
+    are spread over tasks before the final expansion, so a row with millions of
+    copies is not generated by one task.
+    """
     cols = list(cols) if cols else list(before.columns)
     b, a = before.select(*cols), after.select(*cols)
-    return b.subtract(a) if distinct else b.exceptAll(a)
+    if distinct:
+        left, right = b.distinct(), a.distinct().select(*[F.col(c).alias(f"__r_{c}") for c in cols])
+        cond = [left[c].eqNullSafe(right[f"__r_{c}"]) for c in cols]
+        return left.join(right, cond, "left_anti")
+    tagged = b.withColumn("__w", F.lit(1)).unionByName(a.withColumn("__w", F.lit(-1)))
+    net = tagged.groupBy(*cols).agg(F.sum("__w").alias("__n")).where(F.col("__n") > 0)
+    chunks = net.select(*cols, F.col("__n"), F.explode(
+        F.sequence(F.lit(0).cast("bigint"), ((F.col("__n") - 1) / chunk).cast("bigint"))).alias("__k"))
+    sized = chunks.withColumn("__m", F.least(F.lit(chunk).cast("bigint"), F.col("__n") - F.col("__k") * chunk))
+    spread = sized.repartition(F.col("__k"), *[F.col(c) for c in cols]) if chunk else sized
+    return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__m"))).alias("__i")).drop("__i")
 
 
 def densify_domain(agg: DataFrame, domain: DataFrame | Sequence, key: str,

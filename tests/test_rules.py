@@ -150,3 +150,11 @@ def test_distinct_by_key_is_deterministic(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (2, "c", 1)], "k int, s string, v int")
     got = sorted(tuple(r) for r in A.distinct_by_key(df, ["k"]).collect())
     assert got == [(1, "a", 9), (2, "c", 1)]
+
+
+def test_except_distinct_and_all_with_nulls_and_many_copies(spark):
+    b = spark.createDataFrame([(1, None)] * 25 + [(2, "x")] * 3 + [(3, "y")], "a int, s string")
+    a = spark.createDataFrame([(1, None)] * 4 + [(2, "x")] * 5, "a int, s string")
+    assert [tuple(r) for r in S.rows_removed(b, a).collect()] == [(3, "y")]
+    counts = {r["a"]: r["count"] for r in S.rows_removed(b, a, distinct=False, chunk=7).groupBy("a").count().collect()}
+    assert counts == {1: 21, 3: 1}
