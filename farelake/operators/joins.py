@@ -18,13 +18,19 @@ DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
+    """Return the dimension as a broadcast side if it has at most ``max_rows``
+    rows, else ``dim`` unchanged (a shuffle join is planned).
 
-    The check reads at most ``max_rows + 1`` rows, so it is cheap even when the
-    side turns out to be big; beyond the bound Spark plans a shuffle join.
+    The check fetches at most ``max_rows + 1`` rows. When they fit, those very
+    rows become the broadcast relation, so the size proof and the broadcast
+    data are the same thing and the dimension's plan is not run a second time
+    for the join.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    rows = dim.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return dim
+    local = dim.sparkSession.createDataFrame(rows, schema=dim.schema, verifySchema=False)
+    return F.broadcast(local)
 
 
 def join_payment_description(df: DataFrame, payment_dim: DataFrame, key: str = "payment_type") -> DataFrame:

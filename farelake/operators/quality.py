@@ -114,8 +114,6 @@ def normalize_text(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, C.normalize_id(col))
 
 
-_PAYMENT_CACHE: dict = {}
-
 
 def payment_table(spark):
     from farelake.sources.readers import inline_table

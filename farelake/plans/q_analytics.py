@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from farelake import fixed
-from farelake.functions import columns as C
 from farelake.operators import aggregates as A
 from farelake.operators import quality as Q
 from farelake.operators import stats as ST
