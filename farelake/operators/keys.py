@@ -43,11 +43,13 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], name: str, start: int
 
 
 def trip_key(df: DataFrame, name: str = "sk_trip", file_col: str = "src_file", row_col: str = "src_row",
-             max_files_broadcast: int = 1_000_000) -> DataFrame:
+             max_files_broadcast: int = 100_000) -> DataFrame:
     """``file_no * 2^40 + row`` from the raw row identity columns.
 
     File numbers come from ``dense_index`` over the distinct file names (one
-    row per source file, a small table that is broadcast behind a size check).
+    row per source file). That table is broadcast behind a size check; with
+    more files a shuffle join on the file name is planned, which cannot skew
+    (a file holds a bounded number of rows).
     """
     files = dense_index(df.select(file_col).distinct(), [file_col], "__file_no", start=0)
     files = checked_broadcast(files, max_files_broadcast)

@@ -173,15 +173,17 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     if not by:
         data = data.withColumn("__g", F.lit(0))
         q = q.withColumn("__g", F.lit(0))
-    fences = checked_broadcast(q.select(*keyed, "__lf", "__hf"))
+    # one row per group: collected once behind the size check, then used both
+    # as the broadcast fences and for the output (quantiles are not recomputed)
+    fences = checked_broadcast(q.select(*keyed, "q1", "median", "q3", "__lf", "__hf"))
     x = F.col(value)
-    stats = (data.join(fences, keyed, "inner").groupBy(*keyed).agg(
+    stats = (data.join(fences.select(*keyed, "__lf", "__hf"), keyed, "inner").groupBy(*keyed).agg(
         F.min(F.when(x >= F.col("__lf"), x)).alias("whisker_lo"),
         F.max(F.when(x <= F.col("__hf"), x)).alias("whisker_hi"),
         F.count(F.when((x < F.col("__lf")) | (x > F.col("__hf")), 1)).alias("n_out"),
         F.count(F.lit(1)).alias("n")))
-    res = q.join(stats, keyed, "inner").select(*by, "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_out", "n")
-    return res
+    return fences.join(stats, keyed, "inner").select(*by, "q1", "median", "q3", "whisker_lo", "whisker_hi",
+                                                     "n_out", "n")
 
 
 def ols_trend(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataFrame:
