@@ -420,3 +420,13 @@ HV_COLS = ["trip_miles", "trip_time", "base_passenger_fare", "tips"]
 @register("profile_service", describe_sql(f"WITH rh AS ({fx.raw_service_sql('highVolumeForHire')})", "rh", HV_COLS))
 def q_profile_service(spark, d):
     return SC.profile_service(fx.raw_service(spark, d, "highVolumeForHire"), HV_COLS)["describe"]
+
+
+@register("job_audit", f"""{WT},
+c AS (SELECT count(*) AS n_before, count_if(trip_distance > 0 AND dropoff_datetime > pickup_datetime) AS n_after FROM t)
+SELECT n_before, n_after, n_before - n_after AS n_removed,
+       {R('CAST(n_before - n_after AS DOUBLE) * 100 / n_before', 2)} AS pct_removed FROM c""")
+def q_job_audit(spark, d):
+    from farelake.plans.jobs import job_audit
+    t = T(spark, d)
+    return job_audit(t, Q.filter_time_order(Q.filter_positive(t, ["trip_distance"])))["report"]

@@ -504,3 +504,23 @@ def q_passthrough_copy(spark, d):
     dst = scratch(spark, "passthrough")
     W.passthrough_copy(spark, f"{d}/orders.parquet", dst, 1996, 7)
     return RD.scan_partitioned(spark, dst)
+
+
+@register("is_empty", f"""{WT}
+SELECT count(*) = 0 AS is_empty FROM (SELECT 1 FROM t WHERE total_amount < 0 LIMIT 1)""")
+def q_is_empty(spark, d):
+    return RD.is_empty_frame(T(spark, d).where(F.col("total_amount") < 0))
+
+
+PAY_ROWS = ", ".join(f"({k}, '{v}')" for k, v in fixed.TRUSTED_PAYMENT_TYPES)
+
+
+@register("inline_table", f"""{WT},
+pay AS (SELECT * FROM (VALUES {PAY_ROWS}) v(payment_type, payment_type_description))
+SELECT c.payment_type, pay.payment_type_description
+FROM (SELECT DISTINCT CAST(id_payment_type AS INTEGER) AS payment_type FROM t) c
+LEFT JOIN pay ON c.payment_type = pay.payment_type""")
+def q_inline_table(spark, d):
+    pay = RD.inline_table(spark, fixed.TRUSTED_PAYMENT_TYPES, fixed.PAYMENT_SCHEMA)
+    codes = T(spark, d).select(F.col("id_payment_type").cast("int").alias("payment_type")).distinct()
+    return codes.join(F.broadcast(pay), "payment_type", "left")

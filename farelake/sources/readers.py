@@ -153,3 +153,8 @@ def table_shape(df: DataFrame) -> DataFrame:
 def is_empty(df: DataFrame) -> bool:
     """True when there is no row (reads at most one row)."""
     return df.isEmpty()
+
+
+def is_empty_frame(df: DataFrame, out: str = "is_empty") -> DataFrame:
+    """Lazy form of ``is_empty``: one row, one boolean; reads at most one row."""
+    return df.limit(1).agg((F.count(F.lit(1)) == 0).alias(out))
