@@ -95,3 +95,12 @@ def test_incremental_stream_only_loads_new_files(spark, tmp_dir):
     stream_raw_to_trusted(spark, src, trusted, "yellowTaxi", schema, checkpoint=ckpt)
     months = sorted(r["month"] for r in RD.scan_partitioned(spark, trusted).select("month").distinct().collect())
     assert months == [1, 2, 3]
+
+
+def test_command_line_raw_to_trusted(spark, tmp_dir, capsys):
+    from farelake.__main__ import main
+    raw, trusted = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "trusted")
+    write_raw(spark, raw)
+    assert main(["raw-to-trusted", "--raw", raw, "--trusted", trusted, "--years", "1996", "--months", "1", "2"]) == 0
+    out = capsys.readouterr().out
+    assert '"rejected"' in out and "green_tripdata_1996-02.parquet" in out
