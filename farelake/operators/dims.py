@@ -123,10 +123,6 @@ def extend_dimension(existing: DataFrame | None, incoming: DataFrame, natural: s
     if existing is None:
         return dense_index(incoming, [natural], sk)
     new = incoming.join(existing.select(natural), natural, "left_anti")
-    top = existing.agg(F.coalesce(F.max(sk), F.lit(0)).alias("__top"))
-    numbered = dense_index(new, [natural], "__k")
-    # ``top`` is one row: joined on a constant key, broadcast.
-    numbered = (numbered.withColumn("__one", F.lit(1))
-                .join(F.broadcast(top.withColumn("__one", F.lit(1))), "__one")
-                .withColumn(sk, F.col("__top") + F.col("__k")).drop("__one", "__top", "__k"))
+    top = existing.agg(F.max(sk)).first()[0] or 0       # one scalar
+    numbered = dense_index(new, [natural], sk, start=int(top) + 1)
     return existing.unionByName(numbered.select(*existing.columns))

@@ -3,8 +3,10 @@
 Design for a large cluster:
 
 * one Spark job per service covers all requested months (not a driver loop
-  of one small job per file); year/month come from each row's source file
-  name, and the write replaces only those partitions;
+  of one small job per file): each monthly file is opened on its own (a bad
+  file is rejected, months whose types differ are widened by the union) and
+  the union is cleaned and written at once; the write replaces only the
+  year/month partitions present;
 * a missing or unreadable file is reported (rejects frame) and does not stop
   the other files;
 * the conformed union is written once as a staging table and read back, so
@@ -51,21 +53,27 @@ def job_raw_to_trusted(spark: SparkSession, raw_root: str, trusted_root: str, ye
     failures = []
     written = []
     for prefix, service in services.items():
-        paths = []
+        frames = []
         for y in years:
             for m in months:
                 p = raw_file_path(raw_root, service, prefix, int(y), int(m))
-                if RD.path_exists(spark, p):
-                    paths.append(p)
-                else:
-                    failures.append({"service_type": service, "year": y, "filename": p.rsplit("/", 1)[-1],
-                                     "error": "file not found"})
-        if not paths:
+                name = p.rsplit("/", 1)[-1]
+                if not RD.path_exists(spark, p):
+                    failures.append({"service_type": service, "year": y, "filename": name, "error": "file not found"})
+                    continue
+                try:
+                    # per file: a bad footer is rejected here and does not stop the other files;
+                    # the month comes from the path, not from the data
+                    df = spark.read.parquet(p)
+                except Exception as e:  # noqa: BLE001 - report any unreadable file
+                    failures.append({"service_type": service, "year": y, "filename": name,
+                                     "error": f"{type(e).__name__}: {str(e)[:500]}"})
+                    continue
+                frames.append(df.withColumns({"year": F.lit(int(y)), "month": F.lit(int(m))}))
+        if not frames:
             continue
-        df = (spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true").parquet(*paths)
-              .withColumn("__f", F.col("_metadata.file_path")))
-        df = df.withColumns({"year": F.regexp_extract("__f", FILE_NAME_PATTERN, 1).try_cast("int"),
-                             "month": F.regexp_extract("__f", FILE_NAME_PATTERN, 2).try_cast("int")}).drop("__f")
+        # one job per service: months whose column types differ are widened by the union
+        df = S.union_by_name(frames)
         cleaned = Q.apply_cleaning(df, service, fhv_profile=fhv_profile)
         target = f"{trusted_root.rstrip('/')}/{service}"
         W.write_partitioned(cleaned, target, max_files=max_files)
@@ -91,7 +99,7 @@ def conform_trusted(spark: SparkSession, trusted_root: str, years=None, months=N
     for service, path in trusted_paths(trusted_root).items():
         if not RD.path_exists(spark, path):
             continue
-        df = RD.scan_partitioned(spark, path, years, months)
+        df = RD.scan_partitioned(spark, path, years, months, merge_schema=True)
         parts.append(conform_service(df, service, extra_renames=(extra_renames or {}).get(service),
                                      keep_extra=False))
     if not parts:

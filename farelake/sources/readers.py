@@ -44,13 +44,18 @@ def scan_parquet(spark: SparkSession, path: str | Sequence[str], *,
 
 
 def scan_partitioned(spark: SparkSession, base: str, years: Iterable[int] | None = None,
-                     months: Iterable[int] | None = None) -> DataFrame:
+                     months: Iterable[int] | None = None, *, merge_schema: bool = False) -> DataFrame:
     """Read a Hive-style ``year=/month=`` dataset and keep the chosen partitions.
 
     The predicate is on partition columns only, so Spark prunes directories
     (``PartitionFilters`` in the plan) rather than reading everything.
+    ``merge_schema`` unions the column sets of all files (written by different
+    runs) instead of trusting one file's footer.
     """
-    df = spark.read.option("basePath", base).parquet(base)
+    reader = spark.read.option("basePath", base)
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    df = reader.parquet(base)
     if years is not None:
         df = df.filter(F.col("year").isin([int(y) for y in years]))
     if months is not None:

@@ -104,3 +104,27 @@ def test_command_line_raw_to_trusted(spark, tmp_dir, capsys):
     assert main(["raw-to-trusted", "--raw", raw, "--trusted", trusted, "--years", "1996", "--months", "1", "2"]) == 0
     out = capsys.readouterr().out
     assert '"rejected"' in out and "green_tripdata_1996-02.parquet" in out
+
+
+def test_type_drift_between_months_and_corrupt_file(spark, tmp_dir):
+    raw, trusted = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "trusted")
+    y = fx.raw_service(spark, SF_SMALL, "yellowTaxi")
+    jan = y.where((F.year("tpep_pickup_datetime") == 1996) & (F.month("tpep_pickup_datetime") == 1))
+    feb = y.where((F.year("tpep_pickup_datetime") == 1996) & (F.month("tpep_pickup_datetime") == 2))
+    jan.coalesce(1).write.parquet(J.raw_file_path(raw, "yellowTaxi", "yellow_tripdata", 1996, 1))
+    # February stores passenger_count as an integer and has an extra column
+    feb.withColumn("passenger_count", F.col("passenger_count").cast("bigint")) \
+       .withColumn("Airport_fee", F.lit(1.25)).coalesce(1) \
+       .write.parquet(J.raw_file_path(raw, "yellowTaxi", "yellow_tripdata", 1996, 2))
+    bad = J.raw_file_path(raw, "yellowTaxi", "yellow_tripdata", 1996, 3)
+    os.makedirs(os.path.dirname(bad), exist_ok=True)
+    with open(bad, "wb") as f:
+        f.write(b"not a parquet file")
+    report, rejects = J.job_raw_to_trusted(spark, raw, trusted, [1996], [1, 2, 3],
+                                           services={"yellow_tripdata": "yellowTaxi"})
+    months = {r["month"]: r["n_rows"] for r in report.collect()}
+    assert set(months) == {1, 2} and all(n > 0 for n in months.values())
+    errs = {r["filename"]: r["error"] for r in rejects.collect()}
+    assert "yellow_tripdata_1996-03.parquet" in errs and errs["yellow_tripdata_1996-03.parquet"] != "file not found"
+    out = RD.scan_partitioned(spark, f"{trusted}/yellowTaxi")
+    assert dict(out.dtypes)["passenger_count"] == "double"
