@@ -110,6 +110,17 @@ def flag_invalid_location(df: DataFrame, pickup: str = "PULocationID", dropoff:
     return df.withColumns({"has_problem": prev_flag | bad, "problem_description": new_desc})
 
 
+def with_quality_columns(df: DataFrame) -> DataFrame:
+    """Every cleaned service carries ``has_problem`` (false) and
+    ``problem_description`` (null) unless a rule already set them."""
+    add = {}
+    if find_column(df, "has_problem") is None:
+        add["has_problem"] = F.lit(False)
+    if find_column(df, "problem_description") is None:
+        add["problem_description"] = F.lit(None).cast("string")
+    return df.withColumns(add) if add else df
+
+
 def normalize_text(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, C.normalize_id(col))
 
@@ -149,17 +160,18 @@ def clean_fhv(df: DataFrame, profile: str = "current") -> DataFrame:
     """For-hire profile: ``current`` fills null SR_Flag with 0; ``strict`` drops
     rows with a null pickup or drop-off location."""
     if profile == "strict":
-        return filter_not_null(df, [find_column(df, "PUlocationID"), find_column(df, "DOlocationID")])
+        return with_quality_columns(
+            filter_not_null(df, [find_column(df, "PUlocationID"), find_column(df, "DOlocationID")]))
     sr = find_column(df, "SR_Flag")
-    if sr is None:
-        return df
-    return df.withColumn(sr, F.coalesce(F.col(sr), F.lit(0).cast(df.schema[sr].dataType)))
+    if sr is not None:
+        df = df.withColumn(sr, F.coalesce(F.col(sr), F.lit(0).cast(df.schema[sr].dataType)))
+    return with_quality_columns(df)
 
 
 def clean_high_volume(df: DataFrame, km_factor: float = fixed.MILES_TO_KM) -> DataFrame:
     """High-volume profile: km column, miles > 0, trip_time > 0, drop-off > pickup."""
     miles = find_column(df, "trip_miles")
-    out = df.withColumn("trip_miles_km", F.col(miles) * F.lit(km_factor))
+    out = with_quality_columns(df.withColumn("trip_miles_km", F.col(miles) * F.lit(km_factor)))
     return out.filter((F.col(miles) > 0) & (F.col(find_column(df, "trip_time")) > 0)
                       & (F.col(find_column(df, "dropoff_datetime")) > F.col(find_column(df, "pickup_datetime"))))
 

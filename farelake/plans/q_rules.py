@@ -141,18 +141,21 @@ def q_filter_flagged(spark, d):
     return Q.filter_flagged(Q.clean_yellow_green(raw(spark, d, "yellowTaxi"), "yellowTaxi"))
 
 
-@register("clean_fhv", f"WITH {RF} SELECT * REPLACE (COALESCE(SR_Flag, 0) AS SR_Flag) FROM rf")
+QC = "FALSE AS has_problem, CAST(NULL AS VARCHAR) AS problem_description"
+
+
+@register("clean_fhv", f"WITH {RF} SELECT * REPLACE (COALESCE(SR_Flag, 0) AS SR_Flag), {QC} FROM rf")
 def q_clean_fhv(spark, d):
     return Q.clean_fhv(raw(spark, d, "forHireVehicle"), "current")
 
 
-@register("clean_fhv_strict", f"WITH {RF} SELECT * FROM rf WHERE PUlocationID IS NOT NULL AND DOlocationID IS NOT NULL")
+@register("clean_fhv_strict", f"WITH {RF} SELECT *, {QC} FROM rf WHERE PUlocationID IS NOT NULL AND DOlocationID IS NOT NULL")
 def q_clean_fhv_strict(spark, d):
     return Q.clean_fhv(raw(spark, d, "forHireVehicle"), "strict")
 
 
 @register("clean_high_volume", f"""WITH {RH}
-SELECT *, trip_miles * 1.60934 AS trip_miles_km FROM rh
+SELECT *, trip_miles * 1.60934 AS trip_miles_km, {QC} FROM rh
 WHERE trip_miles > 0 AND trip_time > 0 AND dropoff_datetime > pickup_datetime""")
 def q_clean_high_volume(spark, d):
     return Q.clean_high_volume(raw(spark, d, "highVolumeForHire"))
