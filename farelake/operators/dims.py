@@ -59,10 +59,11 @@ def dim_ratecode_static(spark: SparkSession) -> DataFrame:
 
 
 def dim_location(zones: DataFrame) -> DataFrame:
-    """Zone lookup with lower-case names and a key in LocationID order."""
+    """Zone lookup with lower-case names and a key in LocationID order
+    (full-row duplicates removed; the choice never depends on row order)."""
     z = lowercase_columns(zones).withColumnRenamed("locationid", "id_location")
-    z = z.withColumn("id_location", F.col("id_location").try_cast("bigint")).dropDuplicates(["id_location"])
-    return dense_index(z, ["id_location"], "sk_location").select(
+    z = z.withColumn("id_location", F.col("id_location").try_cast("bigint")).distinct()
+    return dense_index(z, ["id_location", "borough", "zone", "service_zone"], "sk_location").select(
         "sk_location", "id_location", "borough", "zone", "service_zone")
 
 

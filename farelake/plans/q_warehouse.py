@@ -61,8 +61,9 @@ def q_dim_service_type(spark, d):
 
 
 @register("dim_location", f"""
-SELECT row_number() OVER (ORDER BY id_location) AS sk_location, id_location, borough, zone, service_zone
-FROM (SELECT TRY_CAST(LocationID AS BIGINT) AS id_location, Borough AS borough, Zone AS zone, service_zone
+SELECT row_number() OVER (ORDER BY id_location, borough, zone, service_zone) AS sk_location,
+       id_location, borough, zone, service_zone
+FROM (SELECT DISTINCT TRY_CAST(LocationID AS BIGINT) AS id_location, Borough AS borough, Zone AS zone, service_zone
       FROM ({fx.ZONES_SQL}))""")
 def q_dim_location(spark, d):
     return D.dim_location(fx.zones(spark, d))
