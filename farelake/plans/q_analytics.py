@@ -430,3 +430,19 @@ def q_job_audit(spark, d):
     from farelake.plans.jobs import job_audit
     t = T(spark, d)
     return job_audit(t, Q.filter_time_order(Q.filter_positive(t, ["trip_distance"])))["report"]
+
+
+@register("job_dedup_publish", f"""{WT}
+SELECT DISTINCT service_type, pickup_datetime, dropoff_datetime, id_location_pickup, id_location_dropoff, id_vendor,
+       id_payment_type, id_rate, CAST(passenger_count AS DOUBLE) AS passenger_count, trip_distance, fare_amount,
+       tip_amount, total_amount
+FROM t WHERE service_type IS NOT NULL AND pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL
+  AND id_location_pickup IS NOT NULL AND id_location_dropoff IS NOT NULL AND id_vendor IS NOT NULL
+  AND id_payment_type IS NOT NULL AND id_rate IS NOT NULL AND passenger_count IS NOT NULL
+  AND trip_distance IS NOT NULL AND fare_amount IS NOT NULL AND tip_amount IS NOT NULL AND total_amount IS NOT NULL""")
+def q_job_dedup_publish(spark, d):
+    from farelake.plans.jobs import job_dedup_publish
+    from farelake.plans.q_sources import scratch
+    out = scratch(spark, "dedup-publish")
+    job_dedup_publish(T(spark, d), out, {"passenger_count": "double"})
+    return spark.read.parquet(out)

@@ -158,3 +158,9 @@ def test_except_distinct_and_all_with_nulls_and_many_copies(spark):
     assert [tuple(r) for r in S.rows_removed(b, a).collect()] == [(3, "y")]
     counts = {r["a"]: r["count"] for r in S.rows_removed(b, a, distinct=False, chunk=7).groupBy("a").count().collect()}
     assert counts == {1: 21, 3: 1}
+
+
+def test_static_dimensions(spark):
+    from farelake.operators import dims as D
+    assert [tuple(r) for r in D.dim_trip_type(spark).orderBy("trip_type_id").collect()] == list(fixed.STATIC_TRIP_TYPES)
+    assert D.dim_ratecode_static(spark).count() == len(fixed.STATIC_RATECODES)
