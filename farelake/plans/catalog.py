@@ -14,6 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelake import fixed
 from farelake.plans import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -57,8 +58,27 @@ def DAYNAME(x: str) -> str:
 
 
 def SEASON_PT(month_expr: str) -> str:
-    return (f"CASE ({month_expr} % 12) // 3 + 1 WHEN 1 THEN 'Verão' WHEN 2 THEN 'Outono' "
-            f"WHEN 3 THEN 'Inverno' WHEN 4 THEN 'Primavera' END")
+    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in fixed.SEASON_INDEX_PT.items())
+    return f"CASE ({month_expr} % 12) // 3 + 1 {whens} END"
+
+
+def SEASON_NORTH(m: str) -> str:
+    winter, spring, summer, fall = fixed.SEASON_NORTH
+    return (f"CASE WHEN {m} = 12 OR {m} <= 2 THEN '{winter}' WHEN {m} <= 5 THEN '{spring}' "
+            f"WHEN {m} <= 8 THEN '{summer}' WHEN {m} <= 11 THEN '{fall}' END")
+
+
+def SQL_LIST(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def SQL_IN(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def SQL_MAP(expr: str, mapping) -> str:
+    whens = " ".join(f"WHEN {expr} = '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {whens} END"
 
 
 WT = f"WITH t AS ({fx.TRIPS_SQL})"

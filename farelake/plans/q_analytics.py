@@ -12,7 +12,7 @@ from farelake.operators import stats as ST
 from farelake.operators import topk as K
 from farelake.plans import fixtures as fx
 from farelake.plans import screens as SC
-from farelake.plans.catalog import DUR, R, SEASON_PT, WE, WT, WZ, E, T, Z, register, rnd
+from farelake.plans.catalog import DUR, R, SEASON_PT, SQL_LIST, WE, WT, WZ, E, T, Z, register, rnd
 from farelake.plans.q_sources import T_ORDER
 
 S2 = f"""{WT}, {WZ},
@@ -139,7 +139,7 @@ def q_mean_revenue_hour(spark, d):
     return rnd(A.mean_revenue_per_hour(s2(spark, d)), "mean_revenue_hour")
 
 
-SERVICE_DOMAIN = "SELECT unnest(['yellowTaxi', 'greenTaxi', 'forHireVehicle', 'highVolumeForHire']) AS service_type"
+SERVICE_DOMAIN = f"SELECT unnest({SQL_LIST(fixed.SERVICE_TYPES)}) AS service_type"
 
 
 @register("revenue_hour_by_service", f"""{S2},

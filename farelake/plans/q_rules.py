@@ -13,7 +13,7 @@ from farelake.operators import setops as S
 from farelake.operators import stats as ST
 from farelake.operators import aggregates as A
 from farelake.plans import fixtures as fx
-from farelake.plans.catalog import DUR, WE, WT, WZ, E, T, Z, register
+from farelake.plans.catalog import DUR, SQL_LIST, WE, WT, WZ, E, T, Z, register
 from farelake.plans.q_sources import conformed_all, CONFORMED_SQL
 from farelake.sources import readers as RD
 
@@ -278,7 +278,7 @@ def q_rows_removed_all(spark, d):
 
 
 @register("densify_domain", f"""{WT},
-dom AS (SELECT unnest(['yellowTaxi', 'greenTaxi', 'forHireVehicle', 'highVolumeForHire', 'noService']) AS service_type),
+dom AS (SELECT unnest({SQL_LIST(fixed.SERVICE_TYPES + ['noService'])}) AS service_type),
 agg AS (SELECT service_type, count(*) AS trips FROM t GROUP BY 1)
 SELECT dom.service_type, COALESCE(agg.trips, 0) AS trips FROM dom LEFT JOIN agg USING (service_type)""")
 def q_densify_domain(spark, d):

@@ -13,7 +13,8 @@ from farelake.functions import columns as C
 from farelake.operators import conform as CF
 from farelake.operators import ingest as IG
 from farelake.plans import fixtures as fx
-from farelake.plans.catalog import DUR, R, WE, WT, E, T, register
+from farelake.plans.catalog import (DUR, R, SEASON_NORTH, SEASON_PT, SQL_IN, SQL_LIST, SQL_MAP, WE, WT, E, T,
+                                     register)
 from farelake.session import ensure_checkpoint_dir
 from farelake.sinks import writers as W
 from farelake.sources import readers as RD
@@ -172,16 +173,15 @@ def _dataset_files(spark, d):
 
 FILES_SQL = f"""{WT},
 months AS (SELECT DISTINCT service_type, year(pickup_datetime) AS y, month(pickup_datetime) AS m FROM t
-           WHERE service_type IN ('yellowTaxi', 'greenTaxi', 'forHireVehicle', 'highVolumeForHire')),
-files AS (SELECT printf('%s_%04d-%02d.parquet', CASE service_type WHEN 'forHireVehicle' THEN 'fhv_tripdata'
-            WHEN 'greenTaxi' THEN 'green_tripdata' WHEN 'yellowTaxi' THEN 'yellow_tripdata'
-            WHEN 'highVolumeForHire' THEN 'fhvhv_tripdata' END, y, m) AS filename FROM months),
+           WHERE service_type IN {SQL_IN(fixed.SERVICE_TYPES)}),
+files AS (SELECT printf('%s_%04d-%02d.parquet',
+            {SQL_MAP('service_type', {v: k for k, v in fixed.SERVICE_BY_FILE_PREFIX.items()})}, y, m) AS filename
+          FROM months),
 parsed AS (SELECT filename,
   regexp_extract(filename, '{fixed.DATASET_FILE_PATTERN}', 1) AS prefix,
   regexp_extract(filename, '{fixed.DATASET_FILE_PATTERN}', 2) AS year,
   regexp_extract(filename, '{fixed.DATASET_FILE_PATTERN}', 3) AS month FROM files),
-svc AS (SELECT *, CASE prefix WHEN 'fhv_tripdata' THEN 'forHireVehicle' WHEN 'green_tripdata' THEN 'greenTaxi'
-  WHEN 'yellow_tripdata' THEN 'yellowTaxi' WHEN 'fhvhv_tripdata' THEN 'highVolumeForHire' END AS service_type
+svc AS (SELECT *, {SQL_MAP('prefix', fixed.SERVICE_BY_FILE_PREFIX)} AS service_type
   FROM parsed WHERE prefix <> '')"""
 
 
@@ -204,7 +204,7 @@ def _grid(spark, d):
 GRID_SQL = f"""{WT},
 span AS (SELECT date_trunc('month', min(pickup_datetime)) AS lo, date_trunc('month', max(pickup_datetime)) AS hi FROM t),
 mm AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS m FROM span),
-svc AS (SELECT unnest(['yellowTaxi', 'greenTaxi', 'forHireVehicle', 'highVolumeForHire']) AS service_type),
+svc AS (SELECT unnest({SQL_LIST(fixed.SERVICE_TYPES)}) AS service_type),
 grid AS (SELECT service_type, CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month FROM mm, svc),
 have AS (SELECT DISTINCT service_type, CAST(year(pickup_datetime) AS INTEGER) AS year,
          CAST(month(pickup_datetime) AS INTEGER) AS month FROM t),
@@ -405,17 +405,14 @@ def q_fn_wait(spark, d):
 
 
 @register("fn_season_north", f"""{WT}
-SELECT pickup_datetime, CASE WHEN month(pickup_datetime) = 12 OR month(pickup_datetime) <= 2 THEN 'Winter'
-  WHEN month(pickup_datetime) <= 5 THEN 'Spring' WHEN month(pickup_datetime) <= 8 THEN 'Summer'
-  WHEN month(pickup_datetime) <= 11 THEN 'Fall' END AS season FROM t""")
+SELECT pickup_datetime, {SEASON_NORTH('month(pickup_datetime)')} AS season FROM t""")
 def q_fn_season_north(spark, d):
     return T(spark, d).select("pickup_datetime", C.season_north(C.month_of("pickup_datetime")).alias("season"))
 
 
 @register("fn_season_index", f"""{WT}
 SELECT pickup_datetime, CAST((month(pickup_datetime) % 12) // 3 + 1 AS INTEGER) AS season_index,
-  CASE (month(pickup_datetime) % 12) // 3 + 1 WHEN 1 THEN 'Verão' WHEN 2 THEN 'Outono' WHEN 3 THEN 'Inverno'
-  WHEN 4 THEN 'Primavera' END AS season FROM t""")
+  {SEASON_PT('month(pickup_datetime)')} AS season FROM t""")
 def q_fn_season_index(spark, d):
     m = C.month_of("pickup_datetime")
     return T(spark, d).select("pickup_datetime", C.season_index(m).alias("season_index"),

@@ -8,7 +8,7 @@ from farelake.operators import dims as D
 from farelake.operators import facts as FT
 from farelake.operators.scd2 import scd2_merge
 from farelake.plans import fixtures as fx
-from farelake.plans.catalog import DUR, WT, T, register
+from farelake.plans.catalog import DUR, SEASON_NORTH, WT, T, register
 from farelake.plans.q_sources import CONFORMED_SQL, conformed_all, scratch
 from farelake.sinks import writers as W
 
@@ -104,8 +104,7 @@ def q_dim_date(spark, d):
 days AS (SELECT DISTINCT CAST(dropoff_datetime AS DATE) AS d FROM t WHERE dropoff_datetime IS NOT NULL)
 SELECT CAST(strftime(d, '%d%m%Y') AS INTEGER) AS sk_time, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date,
        dayname(d) AS weekday, CAST(month(d) AS INTEGER) AS month, CAST(year(d) AS INTEGER) AS year,
-       CASE WHEN month(d) = 12 OR month(d) <= 2 THEN 'Winter' WHEN month(d) <= 5 THEN 'Spring'
-            WHEN month(d) <= 8 THEN 'Summer' WHEN month(d) <= 11 THEN 'Fall' END AS season,
+       {SEASON_NORTH('month(d)')} AS season,
        dayofweek(d) IN (0, 6) AS is_weekend, FALSE AS is_holiday FROM days""")
 def q_dim_time(spark, d):
     return D.dim_time(T(spark, d))
