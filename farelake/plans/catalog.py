@@ -98,8 +98,10 @@ def E(spark, d):
     return fx.events_trips(spark, d)
 
 
-# import sections (each registers its queries)
-from farelake.plans import q_sources  # noqa: E402,F401
-from farelake.plans import q_rules  # noqa: E402,F401
-from farelake.plans import q_analytics  # noqa: E402,F401
-from farelake.plans import q_warehouse  # noqa: E402,F401
+def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
+    """Import every section (each registers its queries) and return the
+    registry: (queries, oracle SQL). Safe to call more than once."""
+    import importlib
+    for mod in ("q_sources", "q_rules", "q_analytics", "q_warehouse"):
+        importlib.import_module(f"farelake.plans.{mod}")
+    return QUERIES, ORACLE
