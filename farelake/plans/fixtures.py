@@ -196,7 +196,12 @@ SELECT -s_suppkey AS id, s_name AS name, 'SUPPLIER' AS segment FROM supplier
 # ---- raw-shaped inputs: aliases of T filtered by service ---------------------
 
 def raw_service(spark: SparkSession, d: str, service: str) -> DataFrame:
-    t = trips(spark, d).where(F.col("service_type") == service)
+    return raw_from_trips(trips(spark, d), service)
+
+
+def raw_from_trips(trips_df: DataFrame, service: str) -> DataFrame:
+    """Raw-shaped monthly-file view of one service, from a trips frame."""
+    t = trips_df.where(F.col("service_type") == service)
     if service in ("yellowTaxi", "greenTaxi"):
         p = "tpep" if service == "yellowTaxi" else "lpep"
         return t.select(F.col("id_vendor").alias("VendorID"),

@@ -301,8 +301,15 @@ def q_select_reorder(spark, d):
 
 
 def conformed_all(spark, d):
-    """All four raw-shaped services conformed and unioned."""
-    parts = [CF.conform_service(fx.raw_service(spark, d, s), s) for s in fixed.SERVICE_TYPES]
+    """All four raw-shaped services conformed and unioned.
+
+    The trips view (a 5-table join) is written once to the shared folder and
+    the four raw-shaped branches read it back, instead of each branch
+    repeating the join."""
+    staged = scratch(spark, "trips")
+    W.write_table(T(spark, d), staged)
+    t = spark.read.parquet(staged)
+    parts = [CF.conform_service(fx.raw_from_trips(t, s), s) for s in fixed.SERVICE_TYPES]
     from farelake.operators.setops import union_by_name
     return union_by_name(parts)
 

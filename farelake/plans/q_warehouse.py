@@ -9,8 +9,7 @@ from farelake.operators import facts as FT
 from farelake.operators.scd2 import scd2_merge
 from farelake.plans import fixtures as fx
 from farelake.plans.catalog import DUR, SEASON_NORTH, WT, T, register
-from farelake.plans.q_sources import CONFORMED_SQL, conformed_all, scratch
-from farelake.sinks import writers as W
+from farelake.plans.q_sources import CONFORMED_SQL, conformed_all
 
 
 def _dense_sql(sk: str, col: str, src: str) -> str:
@@ -131,11 +130,9 @@ LEFT JOIN li ON c.id_license_number = li.id_license_number"""
 
 
 def build_fact(spark, d, with_key: bool = False):
-    # like the warehouse job: the conformed union is written once (shared
-    # folder) and every dimension and the fact read it back
-    staged = scratch(spark, "conformed")
-    W.write_table(conformed_all(spark, d), staged)
-    trips = spark.read.parquet(staged)
+    # the trips view is staged once inside ``conformed_all``; the dimensions
+    # and the fact read the staged table (narrow conform on top)
+    trips = conformed_all(spark, d)
     fact = FT.fact_trip(trips, D.dim_vendor(trips), D.dim_payment_type(trips), D.dim_rate(trips),
                         D.dim_service_type(trips), D.dim_companies_hv(fx.companies(spark, d)),
                         D.dim_license_number(fx.licences(spark, d)))
