@@ -100,8 +100,12 @@ def conform_trusted(spark: SparkSession, trusted_root: str, years=None, months=N
         if not RD.path_exists(spark, path):
             continue
         df = RD.scan_partitioned(spark, path, years, months, merge_schema=True)
-        parts.append(conform_service(df, service, extra_renames=(extra_renames or {}).get(service),
-                                     keep_extra=False))
+        conformed = conform_service(df, service, extra_renames=(extra_renames or {}).get(service),
+                                    keep_extra=True)
+        # conformed columns plus the quality flags (the wide fact keeps them)
+        keep = [f.name for f in fixed.CONFORMED_TRIP_SCHEMA.fields]
+        keep += [c for c in ("has_problem", "problem_description") if c in conformed.columns]
+        parts.append(conformed.select(*keep))
     if not parts:
         raise FileNotFoundError(f"no trusted data under {trusted_root}")
     return S.union_by_name(parts)

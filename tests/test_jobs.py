@@ -128,3 +128,13 @@ def test_type_drift_between_months_and_corrupt_file(spark, tmp_dir):
     assert "yellow_tripdata_1996-03.parquet" in errs and errs["yellow_tripdata_1996-03.parquet"] != "file not found"
     out = RD.scan_partitioned(spark, f"{trusted}/yellowTaxi")
     assert dict(out.dtypes)["passenger_count"] == "double"
+
+
+def test_wide_fact_keeps_quality_flags(spark, tmp_dir):
+    from farelake.operators.facts import fact_trip_wide
+    raw, trusted = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "trusted")
+    write_raw(spark, raw)
+    J.job_raw_to_trusted(spark, raw, trusted, [1996], [1])
+    wide = fact_trip_wide(J.conform_trusted(spark, trusted, [1996], [1]))
+    assert {"has_problem", "problem_description", "trip_duration_minutes", "fk_time"} <= set(wide.columns)
+    assert wide.where("has_problem IS NULL AND service_type IN ('yellowTaxi', 'greenTaxi')").count() == 0
