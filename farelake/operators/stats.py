@@ -35,15 +35,12 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    *, num_partitions: int | None = None, out: str = "value",
-                    checkpoint: bool = False) -> DataFrame:
-    """Exact linear-interpolation quantiles of ``value`` per ``by`` group.
-
-    Returns one row per (group, p): ``*by, p, <out>``. Nulls are ignored.
-    """
+def ranged_value_counts(df: DataFrame, value: str, by: Sequence[str] = (), *,
+                        num_partitions: int | None = None, checkpoint: bool = False) -> DataFrame:
+    """Value counts of ``value`` per group, range-partitioned on (group, value),
+    with the range partition (``__pid``) and the running count inside it
+    (``__end``). A hot group's values are spread over several partitions."""
     by = list(by)
-    probs = [float(p) for p in probs]
     n_parts = _num_partitions(df, num_partitions)
     vc = (df.where(F.col(value).isNotNull())
             .groupBy(*by, F.col(value).cast("double").alias("__v"))
@@ -58,7 +55,19 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     ranged = (vc.repartitionByRange(n_parts, *by, "__v")
                 .withColumn("__pid", F.spark_partition_id()))
     run = Window.partitionBy(*by, "__pid").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranged = ranged.withColumn("__end", F.sum("__c").over(run))
+    return ranged.withColumn("__end", F.sum("__c").over(run))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
+                    *, num_partitions: int | None = None, out: str = "value",
+                    checkpoint: bool = False) -> DataFrame:
+    """Exact linear-interpolation quantiles of ``value`` per ``by`` group.
+
+    Returns one row per (group, p): ``*by, p, <out>``. Nulls are ignored.
+    """
+    by = list(by)
+    probs = [float(p) for p in probs]
+    ranged = ranged_value_counts(df, value, by, num_partitions=num_partitions, checkpoint=checkpoint)
 
     part = ranged.groupBy(*by, "__pid").agg(F.sum("__c").alias("__pn"))
     before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

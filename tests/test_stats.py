@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from farelake.operators import aggregates as A
 from farelake.operators import stats as ST
@@ -70,3 +71,17 @@ def test_heatmap_matrix_shape(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 7, h),) for h in (0, 0, 5, 23)], "pickup_datetime timestamp_ntz")
     r = A.heatmap_matrix(df).first()
     assert r["day_of_week"] == "Sunday" and r["h0"] == 2 and r["h5"] == 1 and r["h23"] == 1 and r["h1"] == 0
+
+
+def test_hot_group_is_split_over_range_partitions(spark):
+    rng = np.random.default_rng(11)
+    hot = rng.normal(100, 20, 9000).round(3)
+    cold = rng.normal(1, 1, 1000).round(3)
+    rows = [("hot", float(v)) for v in hot] + [("cold", float(v)) for v in cold]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ranged = ST.ranged_value_counts(df, "v", ["g"], num_partitions=8)
+    spread = {r["g"]: r["n"] for r in ranged.groupBy("g").agg(F.countDistinct("__pid").alias("n")).collect()}
+    assert spread["hot"] >= 4            # the hot group is not gathered into one task
+    got = {r["p"]: r["value"] for r in ST.exact_quantiles(df, "v", [0.5], ["g"], num_partitions=8)
+           .where("g = 'hot'").collect()}
+    assert got[0.5] == pytest.approx(np.quantile(hot, 0.5), abs=1e-9)
