@@ -169,11 +169,11 @@ def histogram(df: DataFrame, value: str, bins: int = 40, lo: float | None = None
                       F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
-def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), method: str = "exact") -> DataFrame:
     """Box-plot numbers per group: q1, median, q3, whisker ends (most extreme
     values inside 1.5 IQR fences), outlier count, n."""
     by = list(by)
-    q = percentile_exact(df, value, [0.25, 0.5, 0.75], by)
+    q = percentile_exact(df, value, [0.25, 0.5, 0.75], by, method=method)
     q = q.select(*by, F.col("p25").alias("q1"), F.col("p50").alias("median"), F.col("p75").alias("q3"))
     q = (q.withColumn("__lf", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
           .withColumn("__hf", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
@@ -208,7 +208,8 @@ def ols_trend(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataFram
 _DESCRIBE_ORDER = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = 2,
+                     method: str = "exact") -> DataFrame:
     """pandas-style ``describe``: rows count, mean, std (sample), min, 25%, 50%,
     75%, max; one column per input column; exact percentiles."""
     cols = list(cols)
@@ -227,7 +228,8 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = 2)
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])).alias("__s")
     ).select("__s.column", "__s.value")
     lab = F.create_map(*[v for k, name in labels.items() for v in (F.lit(k), F.lit(name))])
-    qs = [exact_quantiles(stacked, "value", list(labels), ["column"]).select(
+    quantiles = exact_quantiles if method == "exact" else approx_quantiles
+    qs = [quantiles(stacked, "value", list(labels), ["column"]).select(
         F.element_at(lab, F.col("p")).alias("stat"), "column", "value")]
     long = reduce(lambda a, b: a.unionByName(b), [long_simple] + qs)
     if digits is not None:

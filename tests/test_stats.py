@@ -85,3 +85,11 @@ def test_hot_group_is_split_over_range_partitions(spark):
     got = {r["p"]: r["value"] for r in ST.exact_quantiles(df, "v", [0.5], ["g"], num_partitions=8)
            .where("g = 'hot'").collect()}
     assert got[0.5] == pytest.approx(np.quantile(hot, 0.5), abs=1e-9)
+
+
+def test_approx_method_for_box_and_describe(spark):
+    df = spark.range(0, 2001).selectExpr("cast(id as double) as x", "cast(id % 2 as string) as g")
+    box = {r["g"]: r for r in ST.box_stats(df, "x", ["g"], method="approx").collect()}
+    assert abs(box["0"]["median"] - 1000) <= 10 and box["0"]["n"] == 1001
+    d = {r["stat"]: r["x"] for r in ST.describe_numeric(df, ["x"], method="approx").collect()}
+    assert d["count"] == 2001 and abs(d["50%"] - 1000) <= 10
