@@ -181,3 +181,62 @@ def q_surrogate_key(spark, d):
     from farelake.operators.keys import dense_index
     c = fx.table(spark, d, "customer")
     return dense_index(c, ["c_nationkey", "c_custkey"], "sk_customer")
+
+
+# ---- 2.13 job over a trusted layer built from the trips --------------------------
+
+_FLAG = "COALESCE(PULocationID <= 0 OR DOLocationID <= 0, FALSE)"
+
+
+def _clean_conformed_sql() -> str:
+    yg = [f"""SELECT '{s}' AS service_type, {p}_pickup_datetime AS pickup_datetime,
+      {p}_dropoff_datetime AS dropoff_datetime, TRY_CAST(PULocationID AS BIGINT) AS id_location_pickup,
+      TRY_CAST(DOLocationID AS BIGINT) AS id_location_dropoff, VendorID AS id_vendor,
+      CAST(CAST(payment_type AS INTEGER) AS BIGINT) AS id_payment_type, TRY_CAST(RatecodeID AS BIGINT) AS id_rate,
+      CAST(NULL AS BIGINT) AS trip_type, CASE WHEN passenger_count <= 0 THEN 1.0 ELSE passenger_count END AS passenger_count,
+      trip_distance, fare_amount, CAST(NULL AS DOUBLE) AS extra, CAST(NULL AS DOUBLE) AS mta_tax, tip_amount,
+      CAST(NULL AS DOUBLE) AS tolls_amount, total_amount, CAST(NULL AS VARCHAR) AS id_license_number,
+      CAST(NULL AS VARCHAR) AS id_hvfhs_license_num, {_FLAG} AS has_problem,
+      CASE WHEN {_FLAG} THEN '{fixed.INVALID_LOCATION_REASON}' END AS problem_description
+    FROM ({fx.raw_service_sql(s)}) WHERE trip_distance > 0 AND {p}_dropoff_datetime > {p}_pickup_datetime"""
+          for s, p in (("yellowTaxi", "tpep"), ("greenTaxi", "lpep"))]
+    nulls = ("CAST(NULL AS BIGINT) AS id_vendor, CAST(NULL AS BIGINT) AS id_payment_type, CAST(NULL AS BIGINT) AS id_rate, "
+             "CAST(NULL AS BIGINT) AS trip_type, CAST(NULL AS DOUBLE) AS passenger_count, "
+             "CAST(NULL AS DOUBLE) AS trip_distance, CAST(NULL AS DOUBLE) AS fare_amount, CAST(NULL AS DOUBLE) AS extra, "
+             "CAST(NULL AS DOUBLE) AS mta_tax, CAST(NULL AS DOUBLE) AS tip_amount, CAST(NULL AS DOUBLE) AS tolls_amount, "
+             "CAST(NULL AS DOUBLE) AS total_amount")
+    flags = "FALSE AS has_problem, CAST(NULL AS VARCHAR) AS problem_description"
+    fhv = f"""SELECT 'forHireVehicle' AS service_type, pickup_datetime, dropOff_datetime AS dropoff_datetime,
+      TRY_CAST(PUlocationID AS BIGINT) AS id_location_pickup, TRY_CAST(DOlocationID AS BIGINT) AS id_location_dropoff,
+      {nulls}, Affiliated_base_number AS id_license_number, CAST(NULL AS VARCHAR) AS id_hvfhs_license_num, {flags}
+    FROM ({fx.raw_service_sql('forHireVehicle')})"""
+    hv = f"""SELECT 'highVolumeForHire' AS service_type, pickup_datetime, dropoff_datetime,
+      TRY_CAST(PULocationID AS BIGINT) AS id_location_pickup, TRY_CAST(DOLocationID AS BIGINT) AS id_location_dropoff,
+      {nulls}, CAST(NULL AS VARCHAR) AS id_license_number, hvfhs_license_num AS id_hvfhs_license_num, {flags}
+    FROM ({fx.raw_service_sql('highVolumeForHire')})
+    WHERE trip_miles > 0 AND trip_time > 0 AND dropoff_datetime > pickup_datetime"""
+    return "\nUNION ALL\n".join(yg + [fhv, hv])
+
+
+@register("job_unify_trips", f"SELECT DISTINCT * FROM ({_clean_conformed_sql()})")
+def q_job_unify_trips(spark, d):
+    """Trusted layer from the trips (each service's cleaning profile, written
+    partitioned by year/month), then the unify job over it, read back."""
+    from farelake.functions import columns as C
+    from farelake.operators.quality import apply_cleaning
+    from farelake.plans.jobs import job_unify_trips
+    from farelake.plans.q_sources import scratch
+    from farelake.sinks.writers import write_partitioned
+    trips = T(spark, d)
+    staged = scratch(spark, "trips")
+    trips.write.parquet(staged)
+    t = spark.read.parquet(staged)
+    trusted = scratch(spark, "trusted")
+    for s in fixed.SERVICE_TYPES:
+        raw = fx.raw_from_trips(t, s)
+        ts = next(c for c in raw.columns if c.lower().endswith("pickup_datetime"))
+        raw = raw.withColumns({"year": C.year_of(ts), "month": C.month_of(ts)})
+        write_partitioned(apply_cleaning(raw, s), f"{trusted}/{s}")
+    out = scratch(spark, "unified")
+    job_unify_trips(spark, trusted, out)
+    return spark.read.parquet(out)
