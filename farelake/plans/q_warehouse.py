@@ -218,18 +218,15 @@ def _clean_conformed_sql() -> str:
     return "\nUNION ALL\n".join(yg + [fhv, hv])
 
 
-@register("job_unify_trips", f"SELECT DISTINCT * FROM ({_clean_conformed_sql()})")
-def q_job_unify_trips(spark, d):
-    """Trusted layer from the trips (each service's cleaning profile, written
-    partitioned by year/month), then the unify job over it, read back."""
+def trusted_from_trips(spark, d) -> str:
+    """A trusted layer built from the trips: each service's cleaning profile,
+    written partitioned by year/month under the shared folder; returns its root."""
     from farelake.functions import columns as C
     from farelake.operators.quality import apply_cleaning
-    from farelake.plans.jobs import job_unify_trips
     from farelake.plans.q_sources import scratch
     from farelake.sinks.writers import write_partitioned
-    trips = T(spark, d)
     staged = scratch(spark, "trips")
-    trips.write.parquet(staged)
+    T(spark, d).write.parquet(staged)
     t = spark.read.parquet(staged)
     trusted = scratch(spark, "trusted")
     for s in fixed.SERVICE_TYPES:
@@ -237,6 +234,25 @@ def q_job_unify_trips(spark, d):
         ts = next(c for c in raw.columns if c.lower().endswith("pickup_datetime"))
         raw = raw.withColumns({"year": C.year_of(ts), "month": C.month_of(ts)})
         write_partitioned(apply_cleaning(raw, s), f"{trusted}/{s}")
+    return trusted
+
+
+@register("job_unify_trips", f"SELECT DISTINCT * FROM ({_clean_conformed_sql()})")
+def q_job_unify_trips(spark, d):
+    """The unify job over a trusted layer built from the trips, read back."""
+    from farelake.plans.jobs import job_unify_trips
+    from farelake.plans.q_sources import scratch
     out = scratch(spark, "unified")
-    job_unify_trips(spark, trusted, out)
+    job_unify_trips(spark, trusted_from_trips(spark, d), out)
     return spark.read.parquet(out)
+
+
+@register("job_trusted_to_dw", FACT_SQL.replace(f"WITH c AS ({CONFORMED_SQL})", f"WITH c AS ({_clean_conformed_sql()})"))
+def q_job_trusted_to_dw(spark, d):
+    """The warehouse job (staging, dimensions, partitioned fact) over a trusted
+    layer built from the trips; the written fact is read back."""
+    from farelake.plans.jobs import job_trusted_to_dw
+    from farelake.plans.q_sources import scratch
+    fact = job_trusted_to_dw(spark, trusted_from_trips(spark, d), scratch(spark, "dw"),
+                             companies=fx.companies(spark, d), licences=fx.licences(spark, d))
+    return fact.drop("sk_trip")
