@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farelake.llm.common import components, discard, mix64, shingle_set, ship, stage
+from farelake.llm.common import components, discard, mix64, only_ids, shingle_set, ship, stage
 
 SIGMAS = 6.0
 
@@ -111,10 +111,8 @@ def near_components(docs: DataFrame, words: int, percent: int = 80, k: int = 64,
         sure = F.size("u") < k  # then the union's sketch is the whole union
         bound = F.when(sure, F.lit(float(percent))).otherwise(F.lit(100 * t_k / k))
         e = stage(e.where(F.col("x") * 100.0 >= bound * F.size("u")).select("a", "b").distinct(), "op2-pairs")
-        need = e.selectExpr("a id").unionByName(e.selectExpr("b id")).distinct()
-        wanted = reps.select("id", "n", F.lit(1).alias("w")).join(need, "id", "left_semi")
-        texts = docs.join(wanted.select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "text"])
-        texts = stage(texts, "op2-texts")
+        need = e.selectExpr("a id").unionByName(e.selectExpr("b id"))
+        texts = stage(only_ids(docs, need, "id").dropDuplicates(["id", "text"]), "op2-texts")
         out = stage(_verify(e, texts, words, percent).distinct(), "op2-links")
         discard(texts, e)
         return out
