@@ -115,15 +115,16 @@ def _rate(history: list[list[float]], which: str) -> Column:
 
 def fit_rates(groups: DataFrame, k: int, share: list[float], budget: float | None) -> tuple[list[list[float]], float]:
     """Gradients of the projected-gradient fit over ``groups`` (p, tokens), and
-    the token budget. Without a budget it is the largest that needs no domain
-    more than once."""
+    the token budget. Without a budget the domain of the largest share is to
+    be used once."""
     def totals(point: Column) -> list[float]:
         r = groups.select("p", "tokens", point.alias("y")).agg(*[F.sum(F.col("tokens") * F.col("p")[i] * F.col("y")).alias(f"a{i}") for i in range(k)]).first()
         return [float(x or 0.0) for x in r]
     now = totals(F.lit(1.0))
     scale = sum(now) or 1.0
     if budget is None:
-        budget = min([now[i] / share[i] for i in range(k) if share[i] > 0 and now[i] > 0], default=scale)
+        main = max(range(k), key=lambda i: share[i])
+        budget = now[main] / share[main] if now[main] > 0 else scale
     want = [s * budget for s in share]
     history: list[list[float]] = []
     for _ in range(MAX_ITERATIONS):
