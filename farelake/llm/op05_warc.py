@@ -32,7 +32,7 @@ from farelake.llm.common import scratch, ship, stage
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
-FILE_BYTES = 32 << 20
+FEW = 500_000  # rows of about 70 bytes that may be broadcast
 
 
 def digest(payload: bytes) -> str:
@@ -59,12 +59,10 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     rows = rows.withColumns({"bytes": F.octet_length("body"), "sha": F.sha1(F.col("body").cast("binary"))})
     groups = (rows.where((F.col("bytes") >= least_bytes) & F.col("id").isNotNull()).groupBy("sha")
               .agg(F.max("id").alias("keep"), F.min("id").alias("least")).where("least < keep").select("sha", "keep"))
-    total = rows.agg(F.sum("bytes").alias("b")).first()["b"] or 0
-    files = max(1, -(-total // FILE_BYTES))
-    # the narrow table is joined, so that payloads are not shuffled by a digest that many share
-    kind = stage(rows.where("id is not null").select("id", "sha").join(groups, "sha").where("id < keep").select("id", "sha", "keep").distinct(),
-                 "op5-revisits")
-    out = rows.join(kind, ["id", "sha"], "left")
+    revisit = stage(rows.where("id is not null").select("id", "sha").join(groups, "sha").where("id < keep").select("id", "sha", "keep").distinct(),
+                    "op5-revisits")
+    # payloads stay where they are if the revisits were counted to be few; else both sides meet by id
+    out = rows.join(F.broadcast(revisit) if revisit.count() <= FEW else revisit, ["id", "sha"], "left")
     url = F.regexp_replace(F.regexp_replace("url", r"[\r\n]", "%0A"), " ", "%20")
     b32 = base32_of_hex("sha")
     header = F.concat(
@@ -76,7 +74,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
             F.col("keep").cast("string"), F.lit(">\r\nWARC-Payload-Length: "), F.col("bytes").cast("string"))).otherwise(F.lit("")),
         F.lit("\r\nContent-Length: "), F.when(F.col("keep").isNotNull(), 0).otherwise(F.col("bytes")).cast("string"), F.lit(END))
     record = F.concat(header, F.when(F.col("keep").isNull(), F.col("body")).otherwise(F.lit("")))
-    out.select(record.alias("value")).repartition(files).write.option("lineSep", END).text(path)
+    out.select(record.alias("value")).write.option("lineSep", END).text(path)
 
 
 def base32_of_hex(col: str):
@@ -164,32 +162,61 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array([place[g] for g in got], pa.int64())], ["file", "at", "end"])
 
 
-_FIELDS = "payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, url string"
-
-
-def _parse(record: bytes, intact: bool = True) -> dict:
-    """The fields of a record, given from behind its magic to before its closing line ends."""
-    at = record.find(b"\r\n\r\n")
-    head = {n.strip().lower(): v.strip() for n, _, v in (x.partition(":") for x in record[:at].decode("utf-8", "replace").split("\r\n"))}
-    payload = record[at + 4:]
-    declared = head["warc-payload-digest"].removeprefix("sha1:")
-    if head["warc-type"] == "response":
-        if digest(payload) != declared:
-            raise ValueError(f"{head['warc-record-id']}: the payload's digest is not {declared}")
-        size, refers = len(payload), None
-    else:
-        size, refers = int(head["warc-payload-length"]), int(head["warc-refers-to"].removeprefix("<urn:page:").removesuffix(">"))
-    return {"payload_bytes": size, "payload_digest": declared, "record_type": head["warc-type"], "refers_to": refers,
-            "record_id": head["warc-record-id"], "url": head["warc-target-uri"]}
+_FIELDS = [("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
+           ("record_id", pa.string()), ("url", pa.string()), ("sound", pa.bool_())]
+_FIELDS_SQL = "payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, url string, sound boolean"
+
+
+def _parse(record: bytes) -> dict:
+    """The fields of a record, given from behind its magic to before its closing
+    line ends. ``sound``: a response's payload has its digest, and a revisit all its fields."""
+    try:
+        at = record.index(b"\r\n\r\n")
+        head = {n.strip().lower(): v.strip() for n, _, v in (x.partition(":") for x in record[:at].decode().split("\r\n"))}
+        kind, payload = head["warc-type"], record[at + 4:]
+        out = {"payload_digest": head["warc-payload-digest"].removeprefix("sha1:"), "record_type": kind, "record_id": head["warc-record-id"],
+               "url": head["warc-target-uri"]}
+        if kind == "response":
+            return out | {"payload_bytes": len(payload), "refers_to": None, "sound": digest(payload) == out["payload_digest"]}
+        return out | {"payload_bytes": int(head["warc-payload-length"]), "sound": True,
+                      "refers_to": int(head["warc-refers-to"].removeprefix("<urn:page:").removesuffix(">"))}
+    except (ValueError, KeyError):
+        return {"sound": False}
+
+
+def _segments(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """A row a segment with its offset in the split: its fields if it is a whole
+    record, or (not ``whole``) the segment itself."""
+    key, size, first = None, 0, False
+    for b in batches:
+        rows = []
+        for f, s, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            if (f, s) != key:
+                key, size, first = (f, s), 0, s == 0
+            n = len(v.as_buffer())
+            if first:
+                first = False
+                size += n
+                continue
+            row = {"file": f, "split": s, "rel": size, "n": len(MAGIC) + n}
+            if not whole:
+                row["value"] = v.as_buffer().to_pybytes()
+            else:
+                segment = v.as_buffer().to_pybytes()
+                got = record_end(segment)
+                if got and got[1] == row["n"]:
+                    row |= _parse(segment[:-4])
+            rows.append(row)
+            size += len(MAGIC) + n
+        place = [("file", pa.string()), ("split", pa.int64()), ("rel", pa.int64()), ("n", pa.int64())]
+        yield pa.RecordBatch.from_pylist(rows, pa.schema(place + (_FIELDS if whole else [("value", pa.binary())])))
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (file, at, end, pieces): the segments of a record, in order."""
-    kind = pa.schema([("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
-                      ("record_id", pa.string()), ("url", pa.string())])
+    """Records put together from their pieces (bytes, pieces)."""
     for b in batches:
         out = [_parse(MAGIC.encode().join(p)[:n - len(MAGIC) - 4]) for n, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-        yield pa.RecordBatch.from_pylist(out, kind)
+        yield pa.RecordBatch.from_pylist(out, pa.schema(_FIELDS))
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -226,36 +253,28 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     true = stage(based.join(entry, ["file", "split"]).select("file", "split", "base", "size", "offs", "ends", "entry")
                  .mapInArrow(_chain, "file string, at long, end long"), "op5-true")
 
-    # the segments with their offsets, joined to the records that hold them
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, size, first = None, 0, False
-        for b in batches:
-            rel = []
-            for f, s, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                if (f, s) != key:
-                    key, size, first = (f, s), 0, s == 0
-                if first:
-                    first = False
-                    rel.append(None)
-                    size += len(v.as_buffer())
-                    continue
-                rel.append(size)
-                size += len(MAGIC) + len(v.as_buffer())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rel, pa.int64())], ["file", "split", "value", "rel"])
-    placed = seg.mapInArrow(place, "file string, split long, value binary, rel long").where("rel is not null")
-    placed = placed.join(based.select("file", "split", "base"), ["file", "split"]).select(
-        "file", (F.col("base") + F.col("rel")).alias("at"), "value")
-    placed = placed.withColumn("ends", F.col("at") + F.octet_length("value") + len(MAGIC))
-    whole = placed.join(true, ["file", "at"], "left").withColumn("plain", F.coalesce(F.col("ends") == F.col("end"), F.lit(False)))
-    whole = stage(whole, "op5-whole")
-    plain = whole.where("plain").select((F.col("end") - F.col("at")).alias("n"), F.array("value").alias("pieces"))
-    # pieces of records with the magic in their payload
-    parts = whole.where("not plain")
-    holder = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = parts.withColumn("head", F.max(F.when(F.col("end").isNotNull(), F.col("at"))).over(holder))
-    split = parts.groupBy("file", "head").agg(F.max("end").alias("end"), F.sort_array(F.collect_list(F.struct("at", "value"))).alias("p")).select(
-        (F.col("end") - F.col("head")).alias("n"), F.transform("p", lambda x: x["value"]).alias("pieces"))
-    return plain.unionByName(split).mapInArrow(_records, _FIELDS)
+    # what each segment says, without its payload, joined to the chain
+    narrow = seg.mapInArrow(lambda it: _segments(it, True), f"file string, split long, rel long, n long, {_FIELDS_SQL}")
+    said = narrow.join(based.select("file", "split", "base"), ["file", "split"]).withColumn("at", F.col("base") + F.col("rel"))
+    said = stage(said.join(true, ["file", "at"], "left"), "op5-said")
+    fields = [f for f, _ in _FIELDS]
+    records = said.where("end = at + n").select(*fields)
+    # records with the magic in their payload are put together from the segments they cover
+    spanned = said.where("end is not null and end <> at + n").select("file", F.col("at").alias("head"), "end")
+    parts = said.where("end is null or end <> at + n").select("file", "split", "rel", "at")
+    cover = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = stage(parts.join(spanned.withColumn("at", F.col("head")), ["file", "at"], "left")
+                  .withColumn("head", F.last("head", ignorenulls=True).over(cover)).withColumn("end", F.last("end", ignorenulls=True).over(cover))
+                  .select("file", "split", "rel", "at", "head", "end"), "op5-parts")
+    n = parts.count()
+    if n:
+        values = seg.mapInArrow(lambda it: _segments(it, False), "file string, split long, rel long, n long, value binary")
+        both = values.join(F.broadcast(parts) if n <= FEW else parts, ["file", "split", "rel"])
+        whole = both.groupBy("file", "head").agg(F.max("end").alias("end"), F.sort_array(F.collect_list(F.struct("at", "value"))).alias("p"))
+        records = records.unionByName(whole.select((F.col("end") - F.col("head")).alias("n"), F.transform("p", lambda x: x["value"]).alias("pieces"))
+                                      .mapInArrow(_records, _FIELDS_SQL))
+    fault = F.raise_error(F.concat(F.lit("a record is damaged: "), F.coalesce("record_id", F.lit("unknown"))))
+    return records.withColumn("record_type", F.when(F.col("sound"), F.col("record_type")).otherwise(fault)).drop("sound")
 
 
 def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
