@@ -48,15 +48,19 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+def clean(spark: SparkSession) -> None:
+    """Collect frames that nothing refers to any more, so that Spark's cleaner
+    deletes their shuffle files before the next job writes its own."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stage(df: DataFrame, tag: str, **options) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the
-    lineage and survives lost executors. Dropped frames are then collected, so
-    that Spark's cleaner can delete their shuffle files."""
+    lineage and survives lost executors."""
     spark, path, schema = df.sparkSession, scratch(df.sparkSession, tag), df.schema
+    clean(spark)
     df.write.options(**({"compression": "zstd"} | options)).parquet(path)
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(schema).parquet(path)
     out.staged_path = path
     return out
