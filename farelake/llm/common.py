@@ -78,7 +78,7 @@ def discard(*frames: DataFrame) -> None:
 def only_ids(df: DataFrame, ids: DataFrame, col: str, most: int = 1_000_000) -> DataFrame:
     """Rows of ``df`` whose ``col`` is among the long ``ids`` (one column of that
     name). Ids are broadcast where they were counted to be at most ``most``
-    (8 MB); more are joined by a shuffle. The rows are the same."""
+    (8 MB a million); more are joined by a shuffle. The rows are the same."""
     ids = stage(ids.distinct(), "ids")
     return df.join(F.broadcast(ids) if ids.count() <= most else ids, col, "left_semi")
 
