@@ -67,6 +67,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sizes = {r.domain: r.n for r in rows.where("word is null").groupBy("domain").agg(F.count(F.lit(1)).alias("n")).limit(MAX_DOMAINS + 1).collect()}
     if len(sizes) > MAX_DOMAINS:
         raise ValueError(f"more than {MAX_DOMAINS} domains")
+    if not sizes:
+        return [], rows.where("false"), []
     domains, total = sorted(sizes), sum(sizes.values())
     prior = [sizes[d] / total for d in domains]
     df = rows.where("word is not null").groupBy("word").agg(*[F.sum((F.col("domain") == d).cast("int")).alias(f"n{i}") for i, d in enumerate(domains)],
