@@ -60,9 +60,10 @@ def dim_ratecode_static(spark: SparkSession) -> DataFrame:
 
 def dim_location(zones: DataFrame) -> DataFrame:
     """Zone lookup with lower-case names and a key in LocationID order
-    (full-row duplicates removed; the choice never depends on row order)."""
+    (one row an id, the smallest of its rows, so that facts never multiply)."""
     z = lowercase_columns(zones).withColumnRenamed("locationid", "id_location")
-    z = z.withColumn("id_location", F.col("id_location").try_cast("bigint")).distinct()
+    z = z.withColumn("id_location", F.col("id_location").try_cast("bigint"))
+    z = z.groupBy("id_location").agg(F.min(F.struct("borough", "zone", "service_zone")).alias("r")).select("id_location", "r.*")
     return dense_index(z, ["id_location", "borough", "zone", "service_zone"], "sk_location").select(
         "sk_location", "id_location", "borough", "zone", "service_zone")
 
@@ -73,7 +74,7 @@ def _licence_dim(src: DataFrame, id_src: str, name_src: str, id_out: str, name_o
                        {id_src: id_out, name_src: name_out}).dropna().distinct()
     if upper:
         d = d.withColumn(name_out, F.upper(name_out))
-        d = d.distinct()
+    d = d.groupBy(id_out).agg(F.min(name_out).alias(name_out))  # one row an id
     return dense_index(d, [id_out, name_out], sk).select(sk, id_out, name_out)
 
 

@@ -16,7 +16,8 @@ def fact_trip(trips: DataFrame, vendor: DataFrame, payment: DataFrame, rate: Dat
               service: DataFrame, companies: DataFrame | None = None,
               licences: DataFrame | None = None) -> DataFrame:
     """Conformed trips -> fact with dimension keys, int date keys and the
-    ``year``/``month`` partition columns.
+    ``year``/``month`` partition columns: the period of the file where the trips
+    carry it, else that of the pickup.
 
     Keeps the service text (``service_type``) next to the real surrogate key
     ``fk_service_type``. ``sk_trip`` comes from the raw row identity
@@ -43,9 +44,9 @@ def fact_trip(trips: DataFrame, vendor: DataFrame, payment: DataFrame, rate: Dat
     df = df.withColumns({
         "pickup_date": C.date_key("pickup_datetime"),
         "dropoff_date": C.date_key("dropoff_datetime"),
-        "year": C.year_of("pickup_datetime"),
-        "month": C.month_of("pickup_datetime"),
     })
+    if "year" not in df.columns or "month" not in df.columns:
+        df = df.withColumns({"year": C.year_of("pickup_datetime"), "month": C.month_of("pickup_datetime")})
     return df.select(*fixed.FACT_COLUMNS)
 
 

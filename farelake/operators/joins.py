@@ -14,12 +14,15 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelake.session import shared_table
+
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Return the dimension as a broadcast side if it has at most ``max_rows``
-    rows, else ``dim`` unchanged (a shuffle join is planned).
+    rows, else as a table written once (a shuffle join is planned). Either way
+    the rows and keys that are joined are fixed here.
 
     The check fetches at most ``max_rows + 1`` rows. When they fit, those very
     rows become the broadcast relation, so the size proof and the broadcast
@@ -28,14 +31,14 @@ def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     rows = dim.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
-        return dim
+        return shared_table(dim, "dimension")
     local = dim.sparkSession.createDataFrame(rows, schema=dim.schema, verifySchema=False)
     return F.broadcast(local)
 
 
 def join_payment_description(df: DataFrame, payment_dim: DataFrame, key: str = "payment_type") -> DataFrame:
     """Left join to the payment code table; unknown codes get a null description."""
-    return df.join(F.broadcast(payment_dim), on=key, how="left")
+    return df.join(checked_broadcast(payment_dim), on=key, how="left")
 
 
 def join_dim_keys(df: DataFrame, dim: DataFrame, natural: str, sk: str, fk: str | None = None,

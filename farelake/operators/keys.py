@@ -1,10 +1,11 @@
 """Deterministic keys.
 
 * ``dense_index``: 1..n in the order of a natural key, computed without a
-  global window. Rows are range-partitioned on the key, numbered inside each
-  partition, and shifted by the row counts of the earlier partitions (one
-  small row per partition). The result is the global rank, so it does not
-  depend on the sampled range bounds and is the same on every run.
+  global window. Rows are range-partitioned on the key and written once with
+  their partition number; numbers inside a partition and the row counts of the
+  earlier ones (one small row per partition) are both read from that table, so
+  they always fit each other. The result is the global rank: it does not depend
+  on the sampled range bounds and is the same on every run.
 * ``trip_key``: the fact key from the raw row's identity (source file +
   row position within the file), ``file_no * 2^40 + row``. Needs no sort and
   no shuffle of the fact, and is stable across runs and task retries.
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake.operators.joins import checked_broadcast
+from farelake.session import shared_table
 
 ROW_BITS = 40  # up to 2^40 rows per source file
 
@@ -30,9 +32,10 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], name: str, start: int
     """
     order_cols = list(order_cols)
     n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, *order_cols).withColumn("__pid", F.spark_partition_id())
+    # stored: a second evaluation could sample other bounds, and offsets would not fit the rows
+    ranged = shared_table(df.repartitionByRange(n_parts, *order_cols).withColumn("__pid", F.spark_partition_id()), "dense-index")
     local = ranged.withColumn("__ln", F.row_number().over(Window.partitionBy("__pid").orderBy(*order_cols)))
-    sizes = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__pn"))
+    sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__pn"))
     # one row per partition: the bound is the partition count
     offsets = sizes.select("__pid", F.coalesce(
         F.sum("__pn").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake.operators.joins import checked_broadcast
-from farelake.session import ensure_checkpoint_dir
+from farelake.session import ensure_checkpoint_dir, shared_table
 
 
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -52,8 +52,8 @@ def ranged_value_counts(df: DataFrame, value: str, by: Sequence[str] = (), *,
         # checkpoint folder) for very long upstream plans.
         ensure_checkpoint_dir(df.sparkSession)
         vc = vc.checkpoint(eager=True)
-    ranged = (vc.repartitionByRange(n_parts, *by, "__v")
-                .withColumn("__pid", F.spark_partition_id()))
+    # stored once: offsets and running counts must come from the same range bounds
+    ranged = shared_table(vc.repartitionByRange(n_parts, *by, "__v").withColumn("__pid", F.spark_partition_id()), "value-counts")
     run = Window.partitionBy(*by, "__pid").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return ranged.withColumn("__end", F.sum("__c").over(run))
 
@@ -79,9 +79,12 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
                  F.ceil(q).alias("hi"), (q - F.floor(q)).alias("frac"))
         for i, (p, q) in enumerate(zip(probs, pos))
     ])
-    part = part.withColumn("__t", targets).select(*by, "__pid", "__off", "__n", "__t")
-
-    joined = ranged.join(part, on=by + ["__pid"], how="inner")
+    part = part.withColumn("__t", targets).select(*[F.col(b).alias(f"__b{i}") for i, b in enumerate(by)],
+                                                  F.col("__pid").alias("__ppid"), "__off", "__n", "__t")
+    on = F.col("__pid") == F.col("__ppid")
+    for i, b in enumerate(by):  # a null group is a group
+        on = on & F.col(b).eqNullSafe(F.col(f"__b{i}"))
+    joined = ranged.join(part, on, "inner")
     start = F.col("__off") + F.col("__end") - F.col("__c")
     end = F.col("__off") + F.col("__end")
     covers = lambda r: (r >= start) & (r < end)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelake import fixed
+from farelake.operators.keys import dense_index
 from farelake.operators import aggregates as A
 from farelake.operators import dims as D
 from farelake.operators import facts as FT
@@ -67,7 +68,7 @@ def job_raw_to_trusted(spark: SparkSession, raw_root: str, trusted_root: str, ye
                     df = spark.read.parquet(p)
                 except Exception as e:  # noqa: BLE001 - report any unreadable file
                     failures.append({"service_type": service, "year": y, "filename": name,
-                                     "error": f"{type(e).__name__}: {str(e)[:500]}"})
+                                     "error": f"{type(e).__name__}: {str(e)}"})
                     continue
                 frames.append(df.withColumns({"year": F.lit(int(y)), "month": F.lit(int(m))}))
         if not frames:
@@ -102,9 +103,9 @@ def conform_trusted(spark: SparkSession, trusted_root: str, years=None, months=N
         df = RD.scan_partitioned(spark, path, years, months, merge_schema=True)
         conformed = conform_service(df, service, extra_renames=(extra_renames or {}).get(service),
                                     keep_extra=True)
-        # conformed columns plus the quality flags (the wide fact keeps them)
+        # conformed columns, the quality flags (the wide fact keeps them) and the file's period
         keep = [f.name for f in fixed.CONFORMED_TRIP_SCHEMA.fields]
-        keep += [c for c in ("has_problem", "problem_description") if c in conformed.columns]
+        keep += [c for c in ("has_problem", "problem_description", "year", "month") if c in conformed.columns]
         parts.append(conformed.select(*keep))
     if not parts:
         raise FileNotFoundError(f"no trusted data under {trusted_root}")
@@ -113,7 +114,7 @@ def conform_trusted(spark: SparkSession, trusted_root: str, years=None, months=N
 
 def job_unify_trips(spark: SparkSession, trusted_root: str, out: str, years=None, months=None) -> None:
     """All services in one schema, full duplicates removed, one table."""
-    W.write_table(A.distinct_rows(conform_trusted(spark, trusted_root, years, months)), out,
+    W.write_table(A.distinct_rows(conform_trusted(spark, trusted_root, years, months).drop("year", "month")), out,
                   partition_cols=None)
 
 
@@ -135,6 +136,22 @@ def _update_coded_dim(spark, dw: str, name: str, trips: DataFrame, code: str, sk
     return spark.read.parquet(path)
 
 
+def _update_dim(spark: SparkSession, dw: str, name: str, fresh: DataFrame, natural: str, sk: str | None) -> DataFrame:
+    """Add the rows of ``fresh`` whose natural key is new, numbered behind the
+    keys given so far; rows and keys that are there stay."""
+    path, staged = f"{dw}/{name}", f"{dw}/_staging/{name}"
+    existing = _read_or_none(spark, path)
+    if existing is not None:
+        new = fresh.join(existing.select(natural), natural, "left_anti")
+        if sk:
+            top = existing.agg(F.max(sk)).first()[0] or 0       # one scalar
+            new = dense_index(new.drop(sk), [natural], sk, start=int(top) + 1)
+        fresh = existing.unionByName(new.select(*existing.columns))
+    W.write_table(fresh, staged)        # written before the target is replaced (it reads it)
+    W.write_table(spark.read.parquet(staged), path)
+    return spark.read.parquet(path)
+
+
 def job_trusted_to_dw(spark: SparkSession, trusted_root: str, dw_root: str, years=None, months=None, *,
                       zones: DataFrame | None = None, companies: DataFrame | None = None,
                       licences: DataFrame | None = None) -> DataFrame:
@@ -151,19 +168,15 @@ def job_trusted_to_dw(spark: SparkSession, trusted_root: str, dw_root: str, year
                                 "payment_type_description", fixed.PAYMENT_LABELS, fixed.PAYMENT_DEFAULT)
     rate = _update_coded_dim(spark, dw, "dim_rate", trips, "id_rate", "sk_ratecode", "ratecode_description",
                              fixed.RATE_LABELS, fixed.RATE_DEFAULT)
-    W.write_table(D.dim_service_type(trips), f"{dw}/_staging/dim_service_type")
-    W.write_table(spark.read.parquet(f"{dw}/_staging/dim_service_type"), f"{dw}/dim_service_type")
-    service = spark.read.parquet(f"{dw}/dim_service_type")
+    service = _update_dim(spark, dw, "dim_service_type", D.dim_service_type(trips), "id_service_type", "sk_service_type")
     comp = lic = None
     if zones is not None:
-        W.write_table(D.dim_location(zones), f"{dw}/dim_location")
+        _update_dim(spark, dw, "dim_location", D.dim_location(zones), "id_location", "sk_location")
     if companies is not None:
-        W.write_table(D.dim_companies_hv(companies), f"{dw}/dim_companies_hv")
-        comp = spark.read.parquet(f"{dw}/dim_companies_hv")
+        comp = _update_dim(spark, dw, "dim_companies_hv", D.dim_companies_hv(companies), "id_hvfhs_license_num", "sk_company_hv")
     if licences is not None:
-        W.write_table(D.dim_license_number(licences), f"{dw}/dim_license_number")
-        lic = spark.read.parquet(f"{dw}/dim_license_number")
-    W.write_table(D.dim_time(trips), f"{dw}/dim_time")
+        lic = _update_dim(spark, dw, "dim_license_number", D.dim_license_number(licences), "id_license_number", "sk_license_number")
+    _update_dim(spark, dw, "dim_time", D.dim_time(trips), "sk_time", None)
 
     fact = FT.fact_trip(trips, vendor, payment, rate, service, comp, lic)
     W.write_partitioned(fact, f"{dw}/fact_taxi_trip")
@@ -171,8 +184,8 @@ def job_trusted_to_dw(spark: SparkSession, trusted_root: str, dw_root: str, year
 
 
 def job_publish(spark: SparkSession, dw_root: str, url: str, options: Mapping[str, str] | None = None,
-                tables: Sequence[str] = ("dim_vendor", "dim_payment_type", "dim_rate", "dim_service_type",
-                                         "fact_taxi_trip")) -> DataFrame:
+                tables: Sequence[str] = ("dim_vendor", "dim_payment_type", "dim_rate", "dim_service_type", "dim_location",
+                                         "dim_companies_hv", "dim_license_number", "dim_time", "fact_taxi_trip")) -> DataFrame:
     """Warehouse tables -> JDBC, with a row-count check per table."""
     return W.export_tables(spark, dw_root, tables, url, options)
 

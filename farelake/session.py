@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,15 +33,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``; set a
-    scratch one only when the setting is absent (local tests)."""
+    scratch one only when the setting is absent and the master is plain local
+    (tests); a cluster without it is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="farelake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def shared_table(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back. What is read
+    does not change, whatever reads it and however often."""
+    spark, schema = df.sparkSession, df.schema
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

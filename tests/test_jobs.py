@@ -138,3 +138,30 @@ def test_wide_fact_keeps_quality_flags(spark, tmp_dir):
     wide = fact_trip_wide(J.conform_trusted(spark, trusted, [1996], [1]))
     assert {"has_problem", "problem_description", "trip_duration_minutes", "fk_time"} <= set(wide.columns)
     assert wide.where("has_problem IS NULL AND service_type IN ('yellowTaxi', 'greenTaxi')").count() == 0
+
+
+def test_a_later_month_keeps_earlier_rows_and_keys(spark, tmp_dir):
+    """The second monthly file holds trips of the first month, and the second run another service."""
+    from farelake.plans.jobs import job_trusted_to_dw
+    from farelake.plans.q_warehouse import trusted_from_trips
+    from farelake.sinks.writers import write_partitioned
+    root = trusted_from_trips(spark, "/root/testdata/sf0.001")
+    trusted, dw = f"{tmp_dir}/trusted", f"{tmp_dir}/dw"
+    yellow = spark.read.parquet(f"{root}/yellowTaxi")
+    year, month = [(r.year, r.month) for r in yellow.groupBy("year", "month").count().orderBy(F.desc("count")).collect() if r.month < 12][0]
+    rows = yellow.where((F.col("year") == year) & (F.col("month") == month)).limit(13).collect()
+    first, late = (spark.createDataFrame(r, yellow.schema) for r in (rows[:10], rows[10:]))
+    write_partitioned(first, f"{trusted}/yellowTaxi")
+    job_trusted_to_dw(spark, trusted, dw, [year], [month])
+    before = {r.id_service_type: r.sk_service_type for r in spark.read.parquet(f"{dw}/dim_service_type").collect()}
+    days = spark.read.parquet(f"{dw}/dim_time").count()
+    write_partitioned(late.withColumn("month", F.lit(month + 1).cast("int")), f"{trusted}/yellowTaxi")
+    fhv = spark.read.parquet(f"{root}/forHireVehicle").limit(5).withColumns({"year": F.lit(year).cast("int"), "month": F.lit(month + 1).cast("int")})
+    write_partitioned(fhv, f"{trusted}/forHireVehicle")
+    job_trusted_to_dw(spark, trusted, dw, [year], [month + 1])
+    fact = spark.read.parquet(f"{dw}/fact_taxi_trip")
+    assert fact.where("service_type = 'yellowTaxi'").count() == 13 and fact.where("service_type = 'forHireVehicle'").count() == 5
+    after = {r.id_service_type: r.sk_service_type for r in spark.read.parquet(f"{dw}/dim_service_type").collect()}
+    assert after["yellowTaxi"] == before["yellowTaxi"] and len(set(after.values())) == 2
+    time = spark.read.parquet(f"{dw}/dim_time")
+    assert time.count() >= days and time.count() == time.select("sk_time").distinct().count()

@@ -1,6 +1,7 @@
 """Properties: subsets, conservation, key integrity, idempotence, exactness."""
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,33 @@ def test_dense_index_matches_row_number(spark):
     assert got.count() == df.count()
 
 
+@pytest.mark.parametrize("parts,reuse", [(4, "true"), (7, "false"), (16, "true"), (200, "false")])
+def test_dense_index_on_a_wide_table_at_any_partition_count(spark, parts, reuse):
+    c = spark.read.parquet("/root/testdata/sf0.1/customer.parquet")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        got = K.dense_index(c, ["c_nationkey", "c_custkey"], "sk", num_partitions=parts)
+        rows = [(r.c_nationkey, r.c_custkey) for r in got.orderBy("sk").select("c_nationkey", "c_custkey", "sk").collect()]
+        keys = [r.sk for r in got.select("sk").orderBy("sk").collect()]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert keys == list(range(1, c.count() + 1))
+    assert rows == sorted(rows)
+
+
+def test_quantiles_without_exchange_reuse_and_with_a_null_group(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select("l_extendedprice")
+    want = np.quantile(np.array([r[0] for r in li.collect()], dtype=float), [0.25, 0.5, 0.75])
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r["p"]: r["value"] for r in ST.exact_quantiles(li, "l_extendedprice", [0.25, 0.5, 0.75], num_partitions=8).collect()}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert np.allclose([got[p] for p in (0.25, 0.5, 0.75)], want)
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0)], "g string, v double")
+    assert {(r.g, r.value) for r in ST.exact_quantiles(df, "v", [0.5], ["g"]).collect()} == {("a", 2.0), (None, 5.0)}
+
+
 def test_exact_quantiles_match_numpy_on_a_skewed_group(spark):
     rng = np.random.default_rng(7)
     hot = rng.normal(50, 10, 4000).round(2)
@@ -104,4 +132,5 @@ def test_checked_broadcast_falls_back(spark):
     plan = big.join(checked_broadcast(spark.range(5), 10), "id")._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
     same = checked_broadcast(big, 10)
-    assert same is big
+    # above the limit the rows are written once and joined by a shuffle
+    assert same.count() == 100 and "hint" not in same._jdf.queryExecution().logical().toString().lower()
