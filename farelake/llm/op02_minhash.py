@@ -14,6 +14,11 @@ decide.
   document, then, in lists that still hold several components, members of
   different components. Pairs inside a component can change nothing, so a
   large group of copies costs its size, not its square.
+* The second round takes sketches of ``FINE`` values of the documents in such
+  lists, whole sets for most. Their lists are built anew, and two whole sets
+  meet only where the places of the shared value leave room for the overlap
+  that the threshold asks of their sizes (positional filter), so variants of a
+  text that stay below the threshold seldom meet.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from pyspark.sql import functions as F
 from farelake.llm.common import components, discard, mix64, only_ids, shingle_set, ship, stage
 
 SIGMAS = 6.0
+FINE = 256           # values of a sketch in the second round
 
 
 def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
@@ -49,6 +55,27 @@ def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, f1 long, f2 long, sketch array<long>")
 
 
+def least_overlap(k: int, percent: int) -> int:
+    """Values that sketches of ``k`` share at the threshold, less the deviations."""
+    share = percent / 100
+    return max(1, math.ceil(share * k - SIGMAS * math.sqrt(k * share * (1 - share))))
+
+
+def inverted_lists(reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """(value, id, n, place) of the rarest retained values of each sketch, as
+    many as a pair at the threshold can't avoid; ``place`` counts from 1 in the
+    order of rarity, values that occur once first (they need no list)."""
+    prefix = F.when(100 * F.col("n") <= percent * k, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).otherwise(
+        F.least(F.col("n"), F.lit(k)) - least_overlap(k, percent) + 1)
+    values = reps.select("id", "n", F.least(F.col("n"), F.lit(k)).alias("m"), F.explode("sketch").alias("value"))
+    shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    own = Window.partitionBy("id", "n")
+    ranked = values.join(shared, "value").withColumns({
+        "r": F.row_number().over(own.orderBy("df", "value")), "c": F.count(F.lit(1)).over(own)})
+    return ranked.withColumn("place", F.col("r") + F.col("m") - F.col("c")).where(F.col("place") <= prefix).select(
+        "value", "id", "n", "place")
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,20 +115,9 @@ def near_components(docs: DataFrame, words: int, percent: int = 80, k: int = 64,
     reps = stage(linked.join(sets, ["n", "f1", "f2"]).where("id = rep").select("id", "n", "sketch").dropDuplicates(["id", "n"]),
                  "op2-reps")
 
-    # the rarest values of each sketch
-    share = percent / 100
-    t_k = max(1, math.ceil(share * k - SIGMAS * math.sqrt(k * share * (1 - share))))
-    prefix = F.when(F.col("n") <= math.floor(share * k), F.col("n") - F.ceil(F.col("n") * share) + 1).otherwise(
-        F.least(F.col("n"), F.lit(k)) - t_k + 1)
-    values = reps.select("id", "n", F.least(F.col("n"), F.lit(k)).alias("m"), F.explode("sketch").alias("value"))
-    shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    own = Window.partitionBy("id", "n")
-    lists = (values.join(shared, "value")
-             .withColumns({"r": F.row_number().over(own.orderBy("df", "value")), "c": F.count(F.lit(1)).over(own)})
-             .where(F.col("r") + F.col("m") - F.col("c") <= prefix).select("value", "id", "n"))
-    lists = stage(lists, "op2-lists")
+    lists = stage(inverted_lists(reps, k, percent).drop("place"), "op2-lists")
 
-    def near(pairs: DataFrame) -> DataFrame:
+    def near(pairs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
         """Filter (a, b) by the sketch of the union, then by the full sets."""
         s = reps.select("id", "n", "sketch")
         e = (pairs.join(s.selectExpr("id a", "n na", "sketch sa"), "a").join(s.selectExpr("id b", "n nb", "sketch sb"), "b")
@@ -109,7 +125,7 @@ def near_components(docs: DataFrame, words: int, percent: int = 80, k: int = 64,
              .withColumn("u", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k))
              .withColumn("x", F.size(F.array_intersect(F.array_intersect("u", "sa"), "sb"))))
         sure = F.size("u") < k  # then the union's sketch is the whole union
-        bound = F.when(sure, F.lit(float(percent))).otherwise(F.lit(100 * t_k / k))
+        bound = F.when(sure, F.lit(float(percent))).otherwise(F.lit(100 * least_overlap(k, percent) / k))
         e = stage(e.where(F.col("x") * 100.0 >= bound * F.size("u")).select("a", "b").distinct(), "op2-pairs")
         need = e.selectExpr("a id").unionByName(e.selectExpr("b id"))
         texts = stage(only_ids(docs, need, "id").dropDuplicates(["id", "text"]), "op2-texts")
@@ -119,17 +135,22 @@ def near_components(docs: DataFrame, words: int, percent: int = 80, k: int = 64,
 
     pivot = lists.groupBy("value").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1")
     first = stage(lists.join(pivot, "value").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "op2-first")
-    links = near(first)
+    links = near(first, reps, k)
     comp = components(links)
     mixed = lists.join(comp.selectExpr("node id", "root"), "id", "left").selectExpr(
         "value", "id", "n", "coalesce(root, id) comp")
     open_ = mixed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
-    mixed = stage(mixed.join(open_, "value", "left_semi"), "op2-mixed")
-    x, y = (mixed.selectExpr("value", f"id {i}", f"n n{i}", f"comp c{i}") for i in "xy")
+    undecided = mixed.join(open_, "value", "left_semi").select("id")
+    fine = stage(sketches(only_ids(docs, undecided, "id"), words, FINE).where("n > 0").dropDuplicates(["id", "n"]), "op2-fine")
+    mixed = stage(inverted_lists(fine, FINE, percent).join(comp.selectExpr("node id", "root"), "id", "left").selectExpr(
+        "value", "id", "n", "place", "coalesce(root, id) comp"), "op2-mixed")
+    x, y = (mixed.selectExpr("value", f"id {i}", f"n n{i}", f"place p{i}", f"comp c{i}") for i in "xy")
+    both = f"ceil({percent} * (nx + ny) / {100 + percent})"  # what whole sets at the threshold share
     rest = (x.join(y, "value").where(f"cx < cy and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
+            .where(f"greatest(nx, ny) > {FINE} or (px <= nx - {both} + 1 and py <= ny - {both} + 1)")
             .selectExpr("least(x, y) a", "greatest(x, y) b").distinct()
             .join(first, ["a", "b"], "left_anti"))
-    links = links.unionByName(near(rest))
+    links = links.unionByName(near(stage(rest, "op2-rest"), fine, FINE))
     root = components(links).selectExpr("node rep", "root")
     member = same.distinct().join(root, "rep", "left").selectExpr("id", "coalesce(root, rep) root")
     # an id that occurs with several texts joins their components
