@@ -14,14 +14,15 @@ from farelake.operators.keys import trip_key
 
 def fact_trip(trips: DataFrame, vendor: DataFrame, payment: DataFrame, rate: DataFrame,
               service: DataFrame, companies: DataFrame | None = None,
-              licences: DataFrame | None = None) -> DataFrame:
+              licences: DataFrame | None = None, files: DataFrame | None = None) -> DataFrame:
     """Conformed trips -> fact with dimension keys, int date keys and the
     ``year``/``month`` partition columns: the period of the file where the trips
     carry it, else that of the pickup.
 
     Keeps the service text (``service_type``) next to the real surrogate key
     ``fk_service_type``. ``sk_trip`` comes from the raw row identity
-    (``src_file``/``src_row``) when the trips carry it.
+    (``src_file``/``src_row``) when the trips carry it, numbered by ``files``
+    (the registry of the warehouse) where that is given.
     """
     df = pad_missing_columns(trips, fixed.CONFORMED_TRIP_SCHEMA)
     df = join_dim_keys(df, vendor, "id_vendor", "sk_vendor", "fk_vendor")
@@ -38,7 +39,7 @@ def fact_trip(trips: DataFrame, vendor: DataFrame, payment: DataFrame, rate: Dat
     else:
         df = df.withColumn("fk_license_number", F.lit(None).cast("bigint"))
     if "src_file" in df.columns and "src_row" in df.columns:
-        df = trip_key(df)
+        df = trip_key(df, files=files)
     else:
         df = df.withColumn("sk_trip", F.lit(None).cast("bigint"))
     df = df.withColumns({

@@ -8,7 +8,8 @@
   on the sampled range bounds and is the same on every run.
 * ``trip_key``: the fact key from the raw row's identity (source file +
   row position within the file), ``file_no * 2^40 + row``. Needs no sort and
-  no shuffle of the fact, and is stable across runs and task retries.
+  no shuffle of the fact, and is stable across task retries. With a file
+  registry (``files``) it is unique over all runs that share the registry.
 """
 
 from __future__ import annotations
@@ -46,15 +47,19 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], name: str, start: int
 
 
 def trip_key(df: DataFrame, name: str = "sk_trip", file_col: str = "src_file", row_col: str = "src_row",
-             max_files_broadcast: int = 100_000) -> DataFrame:
+             max_files_broadcast: int = 100_000, files: DataFrame | None = None) -> DataFrame:
     """``file_no * 2^40 + row`` from the raw row identity columns.
 
-    File numbers come from ``dense_index`` over the distinct file names (one
-    row per source file). That table is broadcast behind a size check; with
+    File numbers come from ``files`` (file_col, file_no), a registry kept over
+    the runs, else from ``dense_index`` over the distinct file names (one row
+    per source file). That table is broadcast behind a size check; with
     more files a shuffle join on the file name is planned, which cannot skew
     (a file holds a bounded number of rows).
     """
-    files = dense_index(df.select(file_col).distinct(), [file_col], "__file_no", start=0)
+    if files is None:
+        files = dense_index(df.select(file_col).distinct(), [file_col], "__file_no", start=0)
+    else:
+        files = files.select(file_col, F.col("file_no").alias("__file_no"))
     files = checked_broadcast(files, max_files_broadcast)
     out = df.join(files, file_col, "left")
     key = F.shiftleft(F.col("__file_no"), ROW_BITS) + F.col(row_col)

@@ -7,10 +7,10 @@ never sorts or moves the whole input.
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake import fixed
@@ -63,13 +63,21 @@ def limit_rows(df: DataFrame, n: int, keys: Sequence[str] | None = None) -> Data
 def sample_per_service(df: DataFrame, col: str = "service_type",
                        services: Sequence[str] = fixed.SERVICE_TYPES,
                        fraction: float = 0.08, n: int = 1000, seed: int = 42) -> DataFrame:
-    """Per service: Bernoulli sample then at most ``n`` rows; union.
+    """Per service: a Bernoulli sample of at most ``n`` rows, the same for the
+    same seed and input splits.
 
-    Each branch is ``filter -> sample -> limit``: tasks stop after ``n`` rows
-    each, so no group is ever gathered into one task.
+    Every row draws a seeded number. The services' row counts (one row each)
+    lower the fraction of large services to one that leaves ``n`` rows and six
+    standard deviations; of those the ``n`` smallest draws stay, so only about
+    ``n`` rows of a service reach one task, whatever the input.
     """
-    parts = [df.where(F.col(col) == F.lit(s)).sample(fraction=fraction, seed=seed).limit(n) for s in services]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    wanted = df.where(F.col(col).isin(*services))
+    size = wanted.groupBy(F.col(col).alias("__s")).agg(F.count(F.lit(1)).alias("__c"))  # at most a row a service
+    enough = n + 6 * math.sqrt(n) + 36
+    drawn = wanted.withColumn("__r", F.rand(seed)).join(F.broadcast(size), F.col(col) == F.col("__s"))
+    drawn = drawn.where(F.col("__r") < F.least(F.lit(float(fraction)), F.lit(enough) / F.col("__c")))
+    best = Window.partitionBy(col).orderBy("__r")
+    return drawn.withColumn("__n", F.row_number().over(best)).where(F.col("__n") <= n).drop("__r", "__s", "__c", "__n")
 
 
 def ordered_category(df: DataFrame, col: str, order: Sequence, out: str = "sort_key") -> DataFrame:

@@ -70,7 +70,9 @@ def job_raw_to_trusted(spark: SparkSession, raw_root: str, trusted_root: str, ye
                     failures.append({"service_type": service, "year": y, "filename": name,
                                      "error": f"{type(e).__name__}: {str(e)}"})
                     continue
-                frames.append(df.withColumns({"year": F.lit(int(y)), "month": F.lit(int(m))}))
+                # the raw row's identity goes along, the fact's key is made of it
+                frames.append(df.select("*", F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.row_index").alias("src_row"))
+                              .withColumns({"year": F.lit(int(y)), "month": F.lit(int(m))}))
         if not frames:
             continue
         # one job per service: months whose column types differ are widened by the union
@@ -95,17 +97,21 @@ def trusted_paths(trusted_root: str, services: Sequence[str] = fixed.SERVICE_TYP
 
 def conform_trusted(spark: SparkSession, trusted_root: str, years=None, months=None,
                     extra_renames: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
-    """Read each service's trusted data (absent services skipped), conform and union."""
+    """Read each service's trusted data (absent services skipped), conform and
+    union. Rows keep their raw identity; a layer without it gives that of its
+    own files."""
     parts = []
     for service, path in trusted_paths(trusted_root).items():
         if not RD.path_exists(spark, path):
             continue
         df = RD.scan_partitioned(spark, path, years, months, merge_schema=True)
+        if "src_file" not in df.columns:
+            df = df.select("*", F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.row_index").alias("src_row"))
         conformed = conform_service(df, service, extra_renames=(extra_renames or {}).get(service),
                                     keep_extra=True)
-        # conformed columns, the quality flags (the wide fact keeps them) and the file's period
+        # conformed columns, the quality flags (the wide fact keeps them), the file's period, the row's identity
         keep = [f.name for f in fixed.CONFORMED_TRIP_SCHEMA.fields]
-        keep += [c for c in ("has_problem", "problem_description", "year", "month") if c in conformed.columns]
+        keep += [c for c in ("has_problem", "problem_description", "year", "month", "src_file", "src_row") if c in conformed.columns]
         parts.append(conformed.select(*keep))
     if not parts:
         raise FileNotFoundError(f"no trusted data under {trusted_root}")
@@ -114,7 +120,7 @@ def conform_trusted(spark: SparkSession, trusted_root: str, years=None, months=N
 
 def job_unify_trips(spark: SparkSession, trusted_root: str, out: str, years=None, months=None) -> None:
     """All services in one schema, full duplicates removed, one table."""
-    W.write_table(A.distinct_rows(conform_trusted(spark, trusted_root, years, months).drop("year", "month")), out,
+    W.write_table(A.distinct_rows(conform_trusted(spark, trusted_root, years, months).drop("year", "month", "src_file", "src_row")), out,
                   partition_cols=None)
 
 
@@ -178,7 +184,11 @@ def job_trusted_to_dw(spark: SparkSession, trusted_root: str, dw_root: str, year
         lic = _update_dim(spark, dw, "dim_license_number", D.dim_license_number(licences), "id_license_number", "sk_license_number")
     _update_dim(spark, dw, "dim_time", D.dim_time(trips), "sk_time", None)
 
-    fact = FT.fact_trip(trips, vendor, payment, rate, service, comp, lic)
+    # source files are numbered once for all runs, so keys of different runs never meet
+    files = _update_dim(spark, dw, "source_files", dense_index(trips.select("src_file").where("src_file is not null").distinct(), ["src_file"], "file_no"),
+                        "src_file", "file_no")
+
+    fact = FT.fact_trip(trips, vendor, payment, rate, service, comp, lic, files)
     W.write_partitioned(fact, f"{dw}/fact_taxi_trip")
     return RD.scan_partitioned(spark, f"{dw}/fact_taxi_trip", years, months)
 

@@ -24,6 +24,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def is_empty_folder(spark: SparkSession, path: str) -> bool:
+    """True when the folder ``path`` holds no data: nothing, or only names that
+    Spark's readers skip."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(jpath)]
+    return all(x.startswith(("_", ".")) for x in names)
+
+
 def scan_parquet(spark: SparkSession, path: str | Sequence[str], *,
                  ignore_corrupt: bool = False, with_source: bool = False) -> DataFrame:
     """Read one (or several) Parquet files/directories.

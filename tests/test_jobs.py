@@ -165,3 +165,41 @@ def test_a_later_month_keeps_earlier_rows_and_keys(spark, tmp_dir):
     assert after["yellowTaxi"] == before["yellowTaxi"] and len(set(after.values())) == 2
     time = spark.read.parquet(f"{dw}/dim_time")
     assert time.count() >= days and time.count() == time.select("sk_time").distinct().count()
+
+
+def test_trip_keys_are_unique_over_runs(spark, tmp_dir):
+    raw, trusted, dw = (os.path.join(tmp_dir, x) for x in ("raw", "trusted", "dw"))
+    write_raw(spark, raw)
+    for month in (1, 2):
+        J.job_raw_to_trusted(spark, raw, trusted, [1996], [month])
+        J.job_trusted_to_dw(spark, trusted, dw, [1996], [month])
+    keys = [r.sk_trip for r in spark.read.parquet(f"{dw}/fact_taxi_trip").select("sk_trip").collect()]
+    assert keys and None not in keys and len(set(keys)) == len(keys)
+    # a run again gives the same keys
+    J.job_trusted_to_dw(spark, trusted, dw, [1996], [1])
+    again = [r.sk_trip for r in spark.read.parquet(f"{dw}/fact_taxi_trip").select("sk_trip").collect()]
+    assert sorted(again) == sorted(keys)
+
+
+def test_stream_merges_a_second_file_and_rejects_unmatched_names(spark, tmp_dir):
+    from farelake.streaming.incremental import stream_raw_to_trusted
+    src, trusted, ckpt = (os.path.join(tmp_dir, x) for x in ("src", "trusted", "ckpt"))
+    y = fx.raw_service(spark, SF_SMALL, "yellowTaxi").where("passenger_count > 0 and trip_distance > 0 and fare_amount > 0")
+    rows = y.limit(60).collect()
+
+    def land(folder, name, part):
+        spark.createDataFrame(part, y.schema).coalesce(1).write.parquet(os.path.join(src, folder, name))
+
+    def run():
+        stream_raw_to_trusted(spark, src, trusted, "yellowTaxi", y.schema, checkpoint=ckpt)
+        return spark.read.parquet(trusted).count()
+    land("a", "yellow_1996-01.parquet", rows[:40])
+    land("a", "notes.parquet", rows[:5])
+    first = run()
+    land("b", "yellow_1996-01.parquet", rows[40:])
+    second = run()
+    assert 0 < first < second
+    assert spark.read.parquet(trusted).select("src_file", "src_row").distinct().count() == second
+    rejects = spark.read.parquet(f"{trusted}/_rejects/*").collect()
+    assert rejects and all("notes.parquet" in r.filename for r in rejects)
+    assert run() == second

@@ -134,3 +134,13 @@ def test_checked_broadcast_falls_back(spark):
     same = checked_broadcast(big, 10)
     # above the limit the rows are written once and joined by a shuffle
     assert same.count() == 100 and "hint" not in same._jdf.queryExecution().logical().toString().lower()
+
+
+def test_sample_per_service_is_bounded_and_repeatable(spark):
+    from farelake.operators.topk import sample_per_service
+    rows = spark.range(0, 20_000, 1, 8).selectExpr("id", "case when id % 10 < 8 then 'a' when id % 10 = 8 then 'b' else 'c' end as service_type")
+    got = [sorted((r.id, r.service_type) for r in sample_per_service(rows, services=["a", "b"], fraction=0.2, n=500).collect()) for _ in range(2)]
+    assert got[0] == got[1] and len({i for i, _ in got[0]}) == len(got[0])
+    count = {s: sum(x == s for _, x in got[0]) for s in "abc"}
+    assert count["a"] == 500 and 280 < count["b"] < 520 and count["c"] == 0
+    assert all((s == "a") == (i % 10 < 8) for i, s in got[0])
