@@ -136,19 +136,20 @@ CONFORM_RENAMES = {
     "hvfhs_license_num": "id_hvfhs_license_num",
 }
 
+# Fact table columns, in published order.
+FACT_COLUMNS = [
+    "sk_trip", "fk_payment_type", "fk_ratecode", "fk_vendor", "fk_service_type",
+    "service_type", "fk_license_number", "fk_company_hv", "pickup_datetime",
+    "pickup_date", "dropoff_datetime", "dropoff_date", "id_location_pickup",
+    "id_location_dropoff", "passenger_count", "trip_distance", "fare_amount",
+    "extra", "mta_tax", "tip_amount", "tolls_amount", "total_amount",
+    "year", "month",
+]
+
 # ---------------------------------------------------------------------------
 # Layer schemas (ours)
 # ---------------------------------------------------------------------------
 
-CONFORM_CASTS = {
-    "id_vendor": T.LongType(),
-    "id_rate": T.LongType(),
-    "id_payment_type": T.LongType(),
-    "trip_type": T.LongType(),
-    "id_location_pickup": T.LongType(),
-    "id_location_dropoff": T.LongType(),
-}
-
 # Conformed trip schema: every service is brought to these columns.
 CONFORMED_TRIP_SCHEMA = T.StructType([
     T.StructField("service_type", T.StringType()),
@@ -170,6 +171,20 @@ CONFORMED_TRIP_SCHEMA = T.StructType([
     T.StructField("total_amount", T.DoubleType()),
     T.StructField("id_license_number", T.StringType()),
     T.StructField("id_hvfhs_license_num", T.StringType()),
+    T.StructField("improvement_surcharge", T.DoubleType()),
+    T.StructField("ehail_fee", T.DoubleType()),
+    T.StructField("congestion_surcharge", T.DoubleType()),
+    T.StructField("airport_fee", T.DoubleType()),
+    T.StructField("sales_tax", T.DoubleType()),
+    T.StructField("bcf", T.DoubleType()),
+    T.StructField("driver_pay", T.DoubleType()),
+    T.StructField("store_and_fwd_flag", T.StringType()),
+    T.StructField("shared_request_flag", T.StringType()),
+    T.StructField("shared_match_flag", T.StringType()),
+    T.StructField("access_a_ride_flag", T.StringType()),
+    T.StructField("wav_request_flag", T.StringType()),
+    T.StructField("wav_match_flag", T.StringType()),
+    T.StructField("originating_base_number", T.StringType()),
 ])
 
 PAYMENT_SCHEMA = T.StructType([
@@ -183,13 +198,3 @@ ZONE_SCHEMA = T.StructType([
     T.StructField("Zone", T.StringType()),
     T.StructField("service_zone", T.StringType()),
 ])
-
-# Fact table columns, in published order.
-FACT_COLUMNS = [
-    "sk_trip", "fk_payment_type", "fk_ratecode", "fk_vendor", "fk_service_type",
-    "service_type", "fk_license_number", "fk_company_hv", "pickup_datetime",
-    "pickup_date", "dropoff_datetime", "dropoff_date", "id_location_pickup",
-    "id_location_dropoff", "passenger_count", "trip_distance", "fare_amount",
-    "extra", "mta_tax", "tip_amount", "tolls_amount", "total_amount",
-    "year", "month",
-]

@@ -83,7 +83,7 @@ def select_reorder(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def conform_service(df: DataFrame, service: str | None = None, *,
                     renames: Mapping[str, str] = fixed.CONFORM_RENAMES,
                     extra_renames: Mapping[str, str] | None = None,
-                    casts: Mapping[str, T.DataType] = fixed.CONFORM_CASTS,
+                    casts: Mapping[str, T.DataType] | None = None,
                     schema: T.StructType = fixed.CONFORMED_TRIP_SCHEMA,
                     keep_extra: bool = False) -> DataFrame:
     """Rename + cast + pad + tag one service's frame into the conformed schema.
@@ -91,7 +91,7 @@ def conform_service(df: DataFrame, service: str | None = None, *,
     ``extra_renames`` is the per-service profile (e.g. high-volume
     ``trip_miles -> trip_distance``). Casts use ``try_cast`` so a dirty code
     becomes null instead of failing the job. Output columns follow ``schema``;
-    ``keep_extra`` keeps the remaining columns after them.
+    ``keep_extra`` keeps the remaining columns after them, ``casts`` casts some.
     """
     mapping = dict(renames)
     if extra_renames:
@@ -109,5 +109,5 @@ def conform_service(df: DataFrame, service: str | None = None, *,
         wanted = {f.name.lower() for f in schema.fields}
         cols += [F.col(c) for c in out.columns if c.lower() not in wanted]
     out = out.select(*cols)
-    extra_casts = {k: v for k, v in casts.items() if k.lower() not in {f.name.lower() for f in schema.fields}}
+    extra_casts = {k: v for k, v in (casts or {}).items() if k.lower() not in {f.name.lower() for f in schema.fields}}
     return cast_columns(out, extra_casts, safe=True) if extra_casts else out

@@ -51,23 +51,30 @@ def fact_trip(trips: DataFrame, vendor: DataFrame, payment: DataFrame, rate: Dat
     return df.select(*fixed.FACT_COLUMNS)
 
 
-WIDE_EXTRA = ["trip_duration_minutes", "pickup_date", "dropoff_date", "weekday", "hour", "fk_time", "year", "month"]
+def fact_trip_wide(trips: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """``sk_trip``, the conformed columns, the quality flags, duration, dates,
+    weekday, hour, ``fk_time`` (ddMMyyyy of the drop-off), year and month.
 
-
-def fact_trip_wide(trips: DataFrame) -> DataFrame:
-    """Conformed columns + duration, dates, weekday, hour, ``fk_time``
-    (ddMMyyyy of the drop-off), year, month; quality flags kept if present."""
+    ``sk_trip`` is made of the raw row identity (``src_file``/``src_row``,
+    numbered by ``files`` where given), null where the trips don't carry it.
+    Flags a layer lacks are null; year and month are those of the trips' file
+    where they carry them, else of the pickup.
+    """
     df = pad_missing_columns(trips, fixed.CONFORMED_TRIP_SCHEMA)
-    base = [f.name for f in fixed.CONFORMED_TRIP_SCHEMA.fields]
-    flags = [c for c in ("has_problem", "problem_description") if c in df.columns]
+    if "src_file" in df.columns and "src_row" in df.columns:
+        df = trip_key(df, files=files)
+    ts = "pickup_datetime"
+    period = {"year": C.year_of(ts), "month": C.month_of(ts)}
+    absent = {"sk_trip": F.lit(None).cast("bigint"), "has_problem": F.lit(None).cast("boolean"),
+              "problem_description": F.lit(None).cast("string"), **period}
+    df = df.withColumns({name: value for name, value in absent.items() if name not in df.columns})
     return df.select(
-        *base, *flags,
-        C.duration_minutes("pickup_datetime", "dropoff_datetime").alias("trip_duration_minutes"),
-        C.to_date("pickup_datetime").alias("pickup_date"),
+        "sk_trip", *[f.name for f in fixed.CONFORMED_TRIP_SCHEMA.fields], "has_problem", "problem_description",
+        C.duration_minutes(ts, "dropoff_datetime").alias("trip_duration_minutes"),
+        C.to_date(ts).alias("pickup_date"),
         C.to_date("dropoff_datetime").alias("dropoff_date"),
-        C.day_name("pickup_datetime").alias("weekday"),
-        C.hour_of("pickup_datetime").alias("hour"),
+        C.day_name(ts).alias("weekday"),
+        C.hour_of(ts).alias("hour"),
         C.date_key("dropoff_datetime", "ddMMyyyy").alias("fk_time"),
-        C.year_of("pickup_datetime").alias("year"),
-        C.month_of("pickup_datetime").alias("month"),
+        "year", "month",
     )

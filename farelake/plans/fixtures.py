@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelake import fixed
+
 
 def table(spark: SparkSession, d: str, name: str, with_source: bool = False) -> DataFrame:
     df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
@@ -195,13 +197,45 @@ SELECT -s_suppkey AS id, s_name AS name, 'SUPPLIER' AS segment FROM supplier
 
 # ---- raw-shaped inputs: aliases of T filtered by service ---------------------
 
+def _flag(col: str) -> str:
+    return f"CASE WHEN {col} % 2 = 0 THEN 'Y' ELSE 'N' END"
+
+
+# further columns of the raw files, as SQL over T that Spark and DuckDB share
+MORE_COLUMNS = {
+    "yellowTaxi": {"store_and_fwd_flag": _flag("id_payment_type"), "extra": "CAST(passenger_count AS DOUBLE)",
+                   "mta_tax": "CAST(id_rate AS DOUBLE)", "tolls_amount": "CAST(id_vendor AS DOUBLE)",
+                   "improvement_surcharge": "total_amount", "congestion_surcharge": "trip_distance", "Airport_fee": "fare_amount"},
+    "greenTaxi": {"store_and_fwd_flag": _flag("id_rate"), "extra": "CAST(id_vendor AS DOUBLE)",
+                  "mta_tax": "CAST(passenger_count AS DOUBLE)", "tolls_amount": "CAST(id_rate AS DOUBLE)", "ehail_fee": "fare_amount",
+                  "improvement_surcharge": "trip_distance", "trip_type": "id_vendor", "congestion_surcharge": "total_amount"},
+    "forHireVehicle": {},
+    "highVolumeForHire": {"originating_base_num": "'B' || CAST(id_vendor AS STRING)", "bcf": "trip_distance", "sales_tax": "total_amount",
+                          "congestion_surcharge": "CAST(passenger_count AS DOUBLE)", "airport_fee": "CAST(id_rate AS DOUBLE)",
+                          "driver_pay": "fare_amount", "shared_request_flag": _flag("id_payment_type"), "shared_match_flag": _flag("id_rate"),
+                          "access_a_ride_flag": _flag("id_vendor"), "wav_request_flag": _flag("id_location_pickup"),
+                          "wav_match_flag": _flag("id_location_dropoff")},
+}
+
+
 def raw_service(spark: SparkSession, d: str, service: str) -> DataFrame:
     return raw_from_trips(trips(spark, d), service)
 
 
-def raw_from_trips(trips_df: DataFrame, service: str) -> DataFrame:
-    """Raw-shaped monthly-file view of one service, from a trips frame."""
+def raw_from_trips(trips_df: DataFrame, service: str, full: bool = False) -> DataFrame:
+    """Raw-shaped monthly-file view of one service, from a trips frame; ``full``
+    adds its further columns and the row identity where the trips carry it."""
     t = trips_df.where(F.col("service_type") == service)
+    if not full:
+        return _raw_columns(t, service)
+    more = [F.expr(e).alias(f"__{c}") for c, e in MORE_COLUMNS[service].items()]
+    source = [c for c in ("src_file", "src_row") if c in t.columns]
+    base = _raw_columns(t, service).columns
+    wide = _raw_columns(t.select("*", *more), service, [f"__{c}" for c in MORE_COLUMNS[service]] + source)
+    return wide.toDF(*base, *MORE_COLUMNS[service], *source)
+
+
+def _raw_columns(t: DataFrame, service: str, more=()) -> DataFrame:
     if service in ("yellowTaxi", "greenTaxi"):
         p = "tpep" if service == "yellowTaxi" else "lpep"
         return t.select(F.col("id_vendor").alias("VendorID"),
@@ -212,7 +246,7 @@ def raw_from_trips(trips_df: DataFrame, service: str) -> DataFrame:
                         F.col("id_location_pickup").alias("PULocationID"),
                         F.col("id_location_dropoff").alias("DOLocationID"),
                         F.col("id_payment_type").alias("payment_type"),
-                        "fare_amount", "tip_amount", "total_amount")
+                        "fare_amount", "tip_amount", "total_amount", *more)
     if service == "forHireVehicle":
         return t.select(F.concat(F.lit("B"), F.col("id_vendor").cast("string")).alias("dispatching_base_num"),
                         "pickup_datetime", F.col("dropoff_datetime").alias("dropOff_datetime"),
@@ -220,32 +254,49 @@ def raw_from_trips(trips_df: DataFrame, service: str) -> DataFrame:
                         F.col("id_location_dropoff").cast("double").alias("DOlocationID"),
                         F.when(F.col("id_payment_type") % 2 == 0, F.lit(None)).otherwise(F.lit(1))
                          .cast("int").alias("SR_Flag"),
-                        F.concat(F.lit("B"), F.col("id_vendor").cast("string")).alias("Affiliated_base_number"))
+                        F.concat(F.lit("B"), F.col("id_vendor").cast("string")).alias("Affiliated_base_number"), *more)
     return t.select(F.concat(F.lit("HV"), F.col("id_vendor").cast("string")).alias("hvfhs_license_num"),
                     "pickup_datetime", "dropoff_datetime",
                     F.col("id_location_pickup").alias("PULocationID"),
                     F.col("id_location_dropoff").alias("DOLocationID"),
                     F.col("trip_distance").alias("trip_miles"),
                     F.timestamp_diff("SECOND", F.col("pickup_datetime"), F.col("dropoff_datetime")).alias("trip_time"),
-                    F.col("fare_amount").alias("base_passenger_fare"), F.col("tip_amount").alias("tips"))
+                    F.col("fare_amount").alias("base_passenger_fare"), F.col("tip_amount").alias("tips"), *more)
 
 
-def raw_service_sql(service: str) -> str:
+def raw_service_sql(service: str, full: bool = False) -> str:
     base = f"(SELECT * FROM ({TRIPS_SQL}) WHERE service_type = '{service}')"
+    more = "".join(f", {e} AS {c}" for c, e in MORE_COLUMNS[service].items()) if full else ""
     if service in ("yellowTaxi", "greenTaxi"):
         p = "tpep" if service == "yellowTaxi" else "lpep"
         return f"""SELECT id_vendor AS VendorID, pickup_datetime AS {p}_pickup_datetime,
             dropoff_datetime AS {p}_dropoff_datetime, CAST(passenger_count AS DOUBLE) AS passenger_count,
             trip_distance, CAST(id_rate AS DOUBLE) AS RatecodeID, id_location_pickup AS PULocationID,
             id_location_dropoff AS DOLocationID, id_payment_type AS payment_type,
-            fare_amount, tip_amount, total_amount FROM {base}"""
+            fare_amount, tip_amount, total_amount{more} FROM {base}"""
     if service == "forHireVehicle":
         return f"""SELECT 'B' || CAST(id_vendor AS VARCHAR) AS dispatching_base_num, pickup_datetime,
             dropoff_datetime AS dropOff_datetime, CAST(id_location_pickup AS DOUBLE) AS PUlocationID,
             CAST(id_location_dropoff AS DOUBLE) AS DOlocationID,
             CAST(CASE WHEN id_payment_type % 2 = 0 THEN NULL ELSE 1 END AS INTEGER) AS SR_Flag,
-            'B' || CAST(id_vendor AS VARCHAR) AS Affiliated_base_number FROM {base}"""
+            'B' || CAST(id_vendor AS VARCHAR) AS Affiliated_base_number{more} FROM {base}"""
     return f"""SELECT 'HV' || CAST(id_vendor AS VARCHAR) AS hvfhs_license_num, pickup_datetime, dropoff_datetime,
         id_location_pickup AS PULocationID, id_location_dropoff AS DOLocationID, trip_distance AS trip_miles,
         date_diff('second', pickup_datetime, dropoff_datetime) AS trip_time,
-        fare_amount AS base_passenger_fare, tip_amount AS tips FROM {base}"""
+        fare_amount AS base_passenger_fare, tip_amount AS tips{more} FROM {base}"""
+
+
+def conformed_sql(service: str, name: str) -> str:
+    """Select item of a conformed column from the further raw columns: null
+    where the service lacks it."""
+    field = fixed.CONFORMED_TRIP_SCHEMA[name]
+    kind = {"double": "DOUBLE", "bigint": "BIGINT", "string": "VARCHAR"}[field.dataType.simpleString()]
+    raw = {fixed.CONFORM_RENAMES.get(c, c).lower(): c for c in MORE_COLUMNS[service]}
+    return f"CAST({raw.get(name, 'NULL')} AS {kind}) AS {name}"
+
+
+NEW_FIELDS = [f.name for f in fixed.CONFORMED_TRIP_SCHEMA.fields][19:]
+
+
+def new_fields_sql(service: str) -> str:
+    return ", ".join(conformed_sql(service, n) for n in NEW_FIELDS)

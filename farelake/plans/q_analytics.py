@@ -414,6 +414,77 @@ def q_screen_fares(spark, d):
     return rnd(SC.screen_fares(T(spark, d), year=1997)["box_by_service"], BOX_COLS)
 
 
+# the other frames of the four screens
+
+def _demand(spark, d, frame):
+    return SC.screen_demand(T(spark, d), service="greenTaxi", weekday="Segunda-feira")[frame]
+
+
+@register("screen_demand_by_hour", f"""{WT}
+SELECT CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour, count(*) AS trips FROM t
+WHERE service_type = 'greenTaxi' AND {WEEKDAY_PT_CASE} = 'Segunda-feira' GROUP BY 1""")
+def q_screen_demand_by_hour(spark, d):
+    return _demand(spark, d, "by_hour")
+
+
+@register("screen_demand_by_month_service", f"""{WT}
+SELECT CAST(month(pickup_datetime) AS INTEGER) AS month, service_type, count(*) AS trips FROM t
+WHERE service_type = 'greenTaxi' GROUP BY 1, 2""")
+def q_screen_demand_by_month_service(spark, d):
+    return _demand(spark, d, "by_month_service")
+
+
+def _screen_frame(name, sql, screen, frame, *rounded, **filters):
+    """Register one frame of a screen over the trips and the zones."""
+    @register(name, sql)
+    def q(spark, d):
+        zones = (Z(spark, d),) if screen is not SC.screen_fares else ()
+        out = screen(T(spark, d), *zones, **filters)[frame]
+        return rnd(out, *rounded) if rounded else out
+
+
+for _frame, _value, _mean in (("duration", "duration", "mean_duration_min"), ("distance", "trip_distance", "mean_distance"),
+                              ("revenue_trip", "total_amount", "mean_revenue_trip"), ("revenue_hour", "revenue_hour", "mean_revenue_hour")):
+    _screen_frame(f"screen_efficiency_{_frame}", f"""{S2}
+SELECT month, {R(f'avg({_value})')} AS {_mean} FROM s2f WHERE service_type = 'yellowTaxi' GROUP BY 1""",
+                  SC.screen_efficiency, _frame, _mean, service="yellowTaxi")
+
+_screen_frame("screen_efficiency_top_regions", f"""{S2}
+SELECT region, {R('avg(revenue_hour)')} AS mean_revenue_hour FROM s2f
+WHERE service_type = 'yellowTaxi' AND region IS NOT NULL GROUP BY 1 ORDER BY avg(revenue_hour) DESC, region LIMIT 10""",
+              SC.screen_efficiency, "top_regions", "mean_revenue_hour", service="yellowTaxi")
+
+for _frame, _zone in (("top_pickup", "pickup_zone"), ("top_dropoff", "dropoff_zone")):
+    _screen_frame(f"screen_hotspots_{_frame}", f"""{S3} SELECT {_zone}, count(*) AS n FROM s3
+WHERE service_type = 'yellowTaxi' AND {_zone} IS NOT NULL GROUP BY 1 ORDER BY n DESC, {_zone} LIMIT 10""",
+                  SC.screen_hotspots, _frame, service="yellowTaxi")
+
+_screen_frame("screen_hotspots_heatmap", f"""{S3}
+SELECT dayname(pickup_datetime) AS day_of_week, CAST(hour(pickup_datetime) AS INTEGER) AS hour, count(*) AS trips
+FROM s3 WHERE service_type = 'yellowTaxi' GROUP BY 1, 2""", SC.screen_hotspots, "heatmap", service="yellowTaxi")
+
+for _frame, _value in (("years", "CAST(year(pickup_datetime) AS INTEGER)"), ("seasons", SEASON_PT("month(pickup_datetime)")),
+                       ("services", "service_type")):
+    _screen_frame(f"screen_hotspots_{_frame}", f"{S3} SELECT DISTINCT {_value} AS value FROM s3 WHERE {_value} IS NOT NULL",
+                  SC.screen_hotspots, _frame)
+
+for _frame, _value, _mean in (("fare", "fare_amount", "mean_fare"), ("tip", "tip_amount", "mean_tip")):
+    _screen_frame(f"screen_fares_{_frame}", f"""{S4}
+SELECT CAST(month(pickup_datetime) AS INTEGER) AS month, {R(f'avg({_value})')} AS {_mean} FROM s4
+WHERE service_type = 'greenTaxi' GROUP BY 1""", SC.screen_fares, _frame, _mean, service="greenTaxi")
+
+
+def _screen_trend(name, frame, x):
+    @register(name, _ols_sql(x) + " WHERE service_type = 'greenTaxi'")
+    def q(spark, d):
+        out = SC.screen_fares(T(spark, d), service="greenTaxi")[frame]
+        return out.withColumns({"slope": F.round("slope", 6), "intercept": F.round("intercept", 4), "r2": F.round("r2", 6)})
+
+
+_screen_trend("screen_fares_trend_duration", "trend_duration", "trip_duration")
+_screen_trend("screen_fares_trend_distance", "trend_distance", "trip_distance")
+
+
 HV_COLS = ["trip_miles", "trip_time", "base_passenger_fare", "tips"]
 
 

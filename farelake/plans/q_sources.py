@@ -272,7 +272,8 @@ SELECT *, CAST(NULL AS VARCHAR) AS service_type, CAST(NULL AS BIGINT) AS id_loca
        CAST(NULL AS DOUBLE) AS passenger_count, CAST(NULL AS DOUBLE) AS trip_distance,
        CAST(NULL AS DOUBLE) AS fare_amount, CAST(NULL AS DOUBLE) AS extra, CAST(NULL AS DOUBLE) AS mta_tax,
        CAST(NULL AS DOUBLE) AS tip_amount, CAST(NULL AS DOUBLE) AS tolls_amount, CAST(NULL AS DOUBLE) AS total_amount,
-       CAST(NULL AS VARCHAR) AS id_license_number, CAST(NULL AS VARCHAR) AS id_hvfhs_license_num
+       CAST(NULL AS VARCHAR) AS id_license_number, CAST(NULL AS VARCHAR) AS id_hvfhs_license_num,
+       {fx.new_fields_sql('forHireVehicle')}
 FROM rf""")
 def q_pad_missing_columns(spark, d):
     # dropOff_datetime already present (case-insensitive): not padded, not overwritten
@@ -300,16 +301,19 @@ def q_select_reorder(spark, d):
     return CF.select_reorder(T(spark, d), ["total_amount", "fare_amount", "service_type", "pickup_datetime"])
 
 
-def conformed_all(spark, d):
+def conformed_all(spark, d, with_source=False):
     """All four raw-shaped services conformed and unioned.
 
     The trips view (a 5-table join) is written once to the shared folder and
     the four raw-shaped branches read it back, instead of each branch
     repeating the join."""
     staged = scratch(spark, "trips")
-    W.write_table(T(spark, d), staged)
+    W.write_table(fx.trips(spark, d, with_source), staged)
     t = spark.read.parquet(staged)
-    parts = [CF.conform_service(fx.raw_from_trips(t, s), s) for s in fixed.SERVICE_TYPES]
+    parts = [CF.conform_service(fx.raw_from_trips(t, s, full=True), s, keep_extra=with_source) for s in fixed.SERVICE_TYPES]
+    if with_source:
+        keep = [f.name for f in fixed.CONFORMED_TRIP_SCHEMA.fields] + ["src_file", "src_row"]
+        parts = [p.select(*keep) for p in parts]
     from farelake.operators.setops import union_by_name
     return union_by_name(parts)
 
@@ -318,10 +322,10 @@ CONFORMED_SQL = "\nUNION ALL\n".join([
     f"""SELECT '{s}' AS service_type, {p}_pickup_datetime AS pickup_datetime, {p}_dropoff_datetime AS dropoff_datetime,
       TRY_CAST(PULocationID AS BIGINT) AS id_location_pickup, TRY_CAST(DOLocationID AS BIGINT) AS id_location_dropoff,
       VendorID AS id_vendor, payment_type AS id_payment_type, TRY_CAST(RatecodeID AS BIGINT) AS id_rate,
-      CAST(NULL AS BIGINT) AS trip_type, passenger_count, trip_distance, fare_amount, CAST(NULL AS DOUBLE) AS extra,
-      CAST(NULL AS DOUBLE) AS mta_tax, tip_amount, CAST(NULL AS DOUBLE) AS tolls_amount, total_amount,
-      CAST(NULL AS VARCHAR) AS id_license_number, CAST(NULL AS VARCHAR) AS id_hvfhs_license_num
-    FROM ({fx.raw_service_sql(s)})""" for s, p in (("yellowTaxi", "tpep"), ("greenTaxi", "lpep"))
+      {fx.conformed_sql(s, 'trip_type')}, passenger_count, trip_distance, fare_amount, {fx.conformed_sql(s, 'extra')},
+      {fx.conformed_sql(s, 'mta_tax')}, tip_amount, {fx.conformed_sql(s, 'tolls_amount')}, total_amount,
+      CAST(NULL AS VARCHAR) AS id_license_number, CAST(NULL AS VARCHAR) AS id_hvfhs_license_num, {fx.new_fields_sql(s)}
+    FROM ({fx.raw_service_sql(s, True)})""" for s, p in (("yellowTaxi", "tpep"), ("greenTaxi", "lpep"))
 ] + [
     f"""SELECT 'forHireVehicle' AS service_type, pickup_datetime, dropOff_datetime AS dropoff_datetime,
       TRY_CAST(PUlocationID AS BIGINT) AS id_location_pickup, TRY_CAST(DOlocationID AS BIGINT) AS id_location_dropoff,
@@ -329,16 +333,16 @@ CONFORMED_SQL = "\nUNION ALL\n".join([
       CAST(NULL AS BIGINT) AS trip_type, CAST(NULL AS DOUBLE) AS passenger_count, CAST(NULL AS DOUBLE) AS trip_distance,
       CAST(NULL AS DOUBLE) AS fare_amount, CAST(NULL AS DOUBLE) AS extra, CAST(NULL AS DOUBLE) AS mta_tax,
       CAST(NULL AS DOUBLE) AS tip_amount, CAST(NULL AS DOUBLE) AS tolls_amount, CAST(NULL AS DOUBLE) AS total_amount,
-      Affiliated_base_number AS id_license_number, CAST(NULL AS VARCHAR) AS id_hvfhs_license_num
-    FROM ({fx.raw_service_sql('forHireVehicle')})""",
+      Affiliated_base_number AS id_license_number, CAST(NULL AS VARCHAR) AS id_hvfhs_license_num, {fx.new_fields_sql('forHireVehicle')}
+    FROM ({fx.raw_service_sql('forHireVehicle', True)})""",
     f"""SELECT 'highVolumeForHire' AS service_type, pickup_datetime, dropoff_datetime,
       TRY_CAST(PULocationID AS BIGINT) AS id_location_pickup, TRY_CAST(DOLocationID AS BIGINT) AS id_location_dropoff,
       CAST(NULL AS BIGINT) AS id_vendor, CAST(NULL AS BIGINT) AS id_payment_type, CAST(NULL AS BIGINT) AS id_rate,
       CAST(NULL AS BIGINT) AS trip_type, CAST(NULL AS DOUBLE) AS passenger_count, CAST(NULL AS DOUBLE) AS trip_distance,
       CAST(NULL AS DOUBLE) AS fare_amount, CAST(NULL AS DOUBLE) AS extra, CAST(NULL AS DOUBLE) AS mta_tax,
       CAST(NULL AS DOUBLE) AS tip_amount, CAST(NULL AS DOUBLE) AS tolls_amount, CAST(NULL AS DOUBLE) AS total_amount,
-      CAST(NULL AS VARCHAR) AS id_license_number, hvfhs_license_num AS id_hvfhs_license_num
-    FROM ({fx.raw_service_sql('highVolumeForHire')})""",
+      CAST(NULL AS VARCHAR) AS id_license_number, hvfhs_license_num AS id_hvfhs_license_num, {fx.new_fields_sql('highVolumeForHire')}
+    FROM ({fx.raw_service_sql('highVolumeForHire', True)})""",
 ])
 
 

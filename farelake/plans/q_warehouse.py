@@ -3,6 +3,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from farelake import fixed
 from farelake.operators import dims as D
 from farelake.operators import facts as FT
@@ -144,7 +147,15 @@ def q_fact_trip(spark, d):
     return build_fact(spark, d)
 
 
-WIDE_SQL = f"""SELECT c.*, {DUR()} AS trip_duration_minutes, CAST(pickup_datetime AS DATE) AS pickup_date,
+def _keyed(fact):
+    """A fact with its key replaced by what holds of it: given, and on how many rows."""
+    n = F.count(F.lit(1)).over(Window.partitionBy("sk_trip"))
+    return fact.withColumns({"has_key": F.col("sk_trip").isNotNull(), "rows_of_key": n}).drop("sk_trip")
+
+
+KEYED_SQL = "TRUE AS has_key, CAST(1 AS BIGINT) AS rows_of_key"
+
+WIDE_SQL = f"""SELECT c.*, {KEYED_SQL}, CAST(NULL AS BOOLEAN) AS has_problem, CAST(NULL AS VARCHAR) AS problem_description, {DUR()} AS trip_duration_minutes, CAST(pickup_datetime AS DATE) AS pickup_date,
   CAST(dropoff_datetime AS DATE) AS dropoff_date, dayname(pickup_datetime) AS weekday,
   CAST(hour(pickup_datetime) AS INTEGER) AS hour, CAST(strftime(dropoff_datetime, '%d%m%Y') AS INTEGER) AS fk_time,
   CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetime) AS INTEGER) AS month
@@ -153,7 +164,7 @@ FROM ({CONFORMED_SQL}) c"""
 
 @register("fact_trip_wide", WIDE_SQL)
 def q_fact_trip_wide(spark, d):
-    return FT.fact_trip_wide(conformed_all(spark, d))
+    return _keyed(FT.fact_trip_wide(conformed_all(spark, d, with_source=True)))
 
 
 SCD2_SQL = f"""WITH cur AS ({fx.SCD2_CURRENT_SQL}), snap AS ({fx.SCD2_SNAPSHOT_SQL}),
@@ -193,12 +204,12 @@ def _clean_conformed_sql() -> str:
       {p}_dropoff_datetime AS dropoff_datetime, TRY_CAST(PULocationID AS BIGINT) AS id_location_pickup,
       TRY_CAST(DOLocationID AS BIGINT) AS id_location_dropoff, VendorID AS id_vendor,
       CAST(CAST(payment_type AS INTEGER) AS BIGINT) AS id_payment_type, TRY_CAST(RatecodeID AS BIGINT) AS id_rate,
-      CAST(NULL AS BIGINT) AS trip_type, CASE WHEN passenger_count <= 0 THEN 1.0 ELSE passenger_count END AS passenger_count,
-      trip_distance, fare_amount, CAST(NULL AS DOUBLE) AS extra, CAST(NULL AS DOUBLE) AS mta_tax, tip_amount,
-      CAST(NULL AS DOUBLE) AS tolls_amount, total_amount, CAST(NULL AS VARCHAR) AS id_license_number,
-      CAST(NULL AS VARCHAR) AS id_hvfhs_license_num, {_FLAG} AS has_problem,
+      {fx.conformed_sql(s, 'trip_type')}, CASE WHEN passenger_count <= 0 THEN 1.0 ELSE passenger_count END AS passenger_count,
+      trip_distance, fare_amount, {fx.conformed_sql(s, 'extra')}, {fx.conformed_sql(s, 'mta_tax')}, tip_amount,
+      {fx.conformed_sql(s, 'tolls_amount')}, total_amount, CAST(NULL AS VARCHAR) AS id_license_number,
+      CAST(NULL AS VARCHAR) AS id_hvfhs_license_num, {fx.new_fields_sql(s)}, {_FLAG} AS has_problem,
       CASE WHEN {_FLAG} THEN '{fixed.INVALID_LOCATION_REASON}' END AS problem_description
-    FROM ({fx.raw_service_sql(s)}) WHERE trip_distance > 0 AND {p}_dropoff_datetime > {p}_pickup_datetime"""
+    FROM ({fx.raw_service_sql(s, True)}) WHERE trip_distance > 0 AND {p}_dropoff_datetime > {p}_pickup_datetime"""
           for s, p in (("yellowTaxi", "tpep"), ("greenTaxi", "lpep"))]
     nulls = ("CAST(NULL AS BIGINT) AS id_vendor, CAST(NULL AS BIGINT) AS id_payment_type, CAST(NULL AS BIGINT) AS id_rate, "
              "CAST(NULL AS BIGINT) AS trip_type, CAST(NULL AS DOUBLE) AS passenger_count, "
@@ -208,12 +219,14 @@ def _clean_conformed_sql() -> str:
     flags = "FALSE AS has_problem, CAST(NULL AS VARCHAR) AS problem_description"
     fhv = f"""SELECT 'forHireVehicle' AS service_type, pickup_datetime, dropOff_datetime AS dropoff_datetime,
       TRY_CAST(PUlocationID AS BIGINT) AS id_location_pickup, TRY_CAST(DOlocationID AS BIGINT) AS id_location_dropoff,
-      {nulls}, Affiliated_base_number AS id_license_number, CAST(NULL AS VARCHAR) AS id_hvfhs_license_num, {flags}
-    FROM ({fx.raw_service_sql('forHireVehicle')})"""
+      {nulls}, Affiliated_base_number AS id_license_number, CAST(NULL AS VARCHAR) AS id_hvfhs_license_num,
+      {fx.new_fields_sql('forHireVehicle')}, {flags}
+    FROM ({fx.raw_service_sql('forHireVehicle', True)})"""
     hv = f"""SELECT 'highVolumeForHire' AS service_type, pickup_datetime, dropoff_datetime,
       TRY_CAST(PULocationID AS BIGINT) AS id_location_pickup, TRY_CAST(DOLocationID AS BIGINT) AS id_location_dropoff,
-      {nulls}, CAST(NULL AS VARCHAR) AS id_license_number, hvfhs_license_num AS id_hvfhs_license_num, {flags}
-    FROM ({fx.raw_service_sql('highVolumeForHire')})
+      {nulls}, CAST(NULL AS VARCHAR) AS id_license_number, hvfhs_license_num AS id_hvfhs_license_num,
+      {fx.new_fields_sql('highVolumeForHire')}, {flags}
+    FROM ({fx.raw_service_sql('highVolumeForHire', True)})
     WHERE trip_miles > 0 AND trip_time > 0 AND dropoff_datetime > pickup_datetime"""
     return "\nUNION ALL\n".join(yg + [fhv, hv])
 
@@ -230,7 +243,7 @@ def trusted_from_trips(spark, d) -> str:
     t = spark.read.parquet(staged)
     trusted = scratch(spark, "trusted")
     for s in fixed.SERVICE_TYPES:
-        raw = fx.raw_from_trips(t, s)
+        raw = fx.raw_from_trips(t, s, full=True)
         ts = next(c for c in raw.columns if c.lower().endswith("pickup_datetime"))
         raw = raw.withColumns({"year": C.year_of(ts), "month": C.month_of(ts)})
         write_partitioned(apply_cleaning(raw, s), f"{trusted}/{s}")
@@ -247,7 +260,8 @@ def q_job_unify_trips(spark, d):
     return spark.read.parquet(out)
 
 
-@register("job_trusted_to_dw", FACT_SQL.replace(f"WITH c AS ({CONFORMED_SQL})", f"WITH c AS ({_clean_conformed_sql()})"))
+@register("job_trusted_to_dw", FACT_SQL.replace(f"WITH c AS ({CONFORMED_SQL})", f"WITH c AS ({_clean_conformed_sql()})")
+          .replace("SELECT dp.sk AS fk_payment_type", f"SELECT {KEYED_SQL}, dp.sk AS fk_payment_type"))
 def q_job_trusted_to_dw(spark, d):
     """The warehouse job (staging, dimensions, partitioned fact) over a trusted
     layer built from the trips; the written fact is read back."""
@@ -255,4 +269,4 @@ def q_job_trusted_to_dw(spark, d):
     from farelake.plans.q_sources import scratch
     fact = job_trusted_to_dw(spark, trusted_from_trips(spark, d), scratch(spark, "dw"),
                              companies=fx.companies(spark, d), licences=fx.licences(spark, d))
-    return fact.drop("sk_trip")
+    return _keyed(fact)

@@ -140,6 +140,26 @@ def test_wide_fact_keeps_quality_flags(spark, tmp_dir):
     assert wide.where("has_problem IS NULL AND service_type IN ('yellowTaxi', 'greenTaxi')").count() == 0
 
 
+def test_wide_fact_carries_every_column_and_keys(spark):
+    from farelake import fixed
+    from farelake.operators.aggregates import distinct_rows
+    from farelake.operators.facts import fact_trip_wide
+    from farelake.plans.q_warehouse import trusted_from_trips
+    trips = J.conform_trusted(spark, trusted_from_trips(spark, "/root/testdata/sf0.001"))
+    wide = fact_trip_wide(trips)
+    assert len(wide.columns) == len(set(wide.columns)) == 44
+    assert {f.name for f in fixed.CONFORMED_TRIP_SCHEMA.fields} <= set(wide.columns)
+    n, keys, filled = wide.selectExpr(
+        "count(*)", "count(DISTINCT sk_trip)",
+        "array(count(improvement_surcharge), count(ehail_fee), count(congestion_surcharge), count(airport_fee), count(sales_tax), count(bcf), "
+        "count(driver_pay), count(store_and_fwd_flag), count(wav_match_flag), count(originating_base_number))").first()
+    assert n == keys and min(filled) > 0
+    # two trips that differ in one of these columns alone both stay
+    two = trips.where("service_type = 'highVolumeForHire'").limit(1).drop("src_file", "src_row")
+    two = two.unionByName(two.withColumn("driver_pay", F.lit(-1.0)))
+    assert distinct_rows(two).count() == 2
+
+
 def test_a_later_month_keeps_earlier_rows_and_keys(spark, tmp_dir):
     """The second monthly file holds trips of the first month, and the second run another service."""
     from farelake.plans.jobs import job_trusted_to_dw

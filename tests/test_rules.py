@@ -85,7 +85,7 @@ def test_conform_is_case_insensitive_and_does_not_overwrite(spark):
     assert out["dropoff_datetime"] == T1
     assert out["id_location_pickup"] == 3 and out["id_location_dropoff"] == 4
     assert out["id_license_number"] == "B1"
-    assert out["Airport_fee"] == 7.5           # not replaced by a padded airport_fee
+    assert out["airport_fee"] == 7.5           # the raw Airport_fee, not a padded null
     padded = CF.pad_missing_columns(df, fixed.CONFORMED_TRIP_SCHEMA)
     assert "airport_fee" not in [c for c in padded.columns if c != "Airport_fee"]
 
