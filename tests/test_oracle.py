@@ -40,11 +40,11 @@ def test_entry_runs(spark):
 def test_sample_is_bounded_and_made_of_trips(spark):
     from farelake.operators.topk import sample_per_service
     trips = fx.trips(spark, SF_SMALL).where("service_type <> 'other'")
-    sample = sample_per_service(trips, 50, seed=7)
+    sample = sample_per_service(trips, n=50, seed=7)
     sizes = {r[0]: r[1] for r in sample.groupBy("service_type").count().collect()}
     assert sizes == {s: 50 for s in sizes} and len(sizes) == 4
     assert sample.exceptAll(trips).count() == 0
-    assert sorted(map(str, sample.collect())) == sorted(map(str, sample_per_service(trips, 50, seed=7).collect()))
+    assert sorted(map(str, sample.collect())) == sorted(map(str, sample_per_service(trips, n=50, seed=7).collect()))
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n in ORACLE])
