@@ -194,6 +194,31 @@ def test_lines_keep_one_occurrence(spark, empty):
     assert o9.line_groups(empty).collect() == []
 
 
+def test_lines_against_all_pairs(spark):
+    """Recall against the edit similarity of all pairs, lines of 6 to 50 words."""
+    rng = np.random.default_rng(9)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10))) for _ in range(2000)]
+    rows = []
+    for n in (6, 8, 10, 15, 20, 50):
+        for r in (1, 1, 1, max(1, n // 10), max(1, n // 5)):
+            for mistyped in (False, True):
+                a = list(rng.choice(vocabulary, n))
+                b = list(a)
+                for j in rng.choice(n, r, replace=False):
+                    b[j] = b[j][:1] + "q" + b[j][1:] if mistyped else str(rng.choice(vocabulary))
+                rows += [" ".join(a), " ".join(b)]
+    d = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    pairs = d.selectExpr("doc_id a", "text ta").crossJoin(d.selectExpr("doc_id b", "text tb")).where(
+        "a < b and levenshtein(ta, tb) <= floor(greatest(length(ta), length(tb)) * 20 / 100)").select("a", "b").collect()
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    want = {i for i, r in enumerate(root) if r != i}
+    got = {r.doc_id for r in o9.line_groups(d).where("not kept").collect()}
+    assert len(want) > 40 and got <= want and len(got) >= 0.95 * len(want)
+
+
 @pytest.mark.parametrize("n", [0, 1, 4095, 4096, 4097, 20000])
 def test_coder_round_trip(n):
     ids = np.random.default_rng(n).zipf(1.3, n) % 49000
