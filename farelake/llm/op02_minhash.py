@@ -9,7 +9,8 @@ decide.
 * A pair that reaches the threshold shares at least ``t`` retained values, so
   only the ``m - t + 1`` rarest values of a sketch of ``m`` need a list
   (prefix filter). For whole sets ``t`` is exact; for sketches it is the mean
-  overlap less six standard deviations.
+  overlap less six standard deviations; a whole set that may meet either takes
+  the longer prefix.
 * A list is linked in two rounds: first every member with the list's smallest
   document, then, in lists that still hold several components, members of
   different components. Pairs inside a component can change nothing, so a
@@ -65,8 +66,10 @@ def inverted_lists(reps: DataFrame, k: int, percent: int) -> DataFrame:
     """(value, id, n, place) of the rarest retained values of each sketch, as
     many as a pair at the threshold can't avoid; ``place`` counts from 1 in the
     order of rarity, values that occur once first (they need no list)."""
-    prefix = F.when(100 * F.col("n") <= percent * k, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).otherwise(
-        F.least(F.col("n"), F.lit(k)) - least_overlap(k, percent) + 1)
+    exact = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    sampled = F.least(F.col("n"), F.lit(k)) - least_overlap(k, percent) + 1
+    # a whole set may meet a smaller whole set (exact) or a larger one's sketch
+    prefix = F.when(100 * F.col("n") <= percent * k, exact).when(F.col("n") <= k, F.greatest(exact, sampled)).otherwise(sampled)
     values = reps.select("id", "n", F.least(F.col("n"), F.lit(k)).alias("m"), F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     own = Window.partitionBy("id", "n")

@@ -80,6 +80,15 @@ def test_near_components_against_brute_force(docs, rows, empty, words):
     assert o2.near_components(empty, words).collect() == []
 
 
+def test_near_components_of_whole_fine_sets_at_the_threshold(spark):
+    """205 shingles and a part of 164, each shared shingle also a smaller id's:
+    the two can meet in the second round only."""
+    w = [f"x{i}" for i in range(206)]
+    rows = [(i, f"{w[i]} {w[i + 1]}") for i in range(164)] + [(1000, " ".join(w)), (1001, " ".join(w[:165]))]
+    got = {r.doc_id: r.component_id for r in o2.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert got == {i: min(i, 1000) for i, _ in rows}
+
+
 def test_language_on_held_out_rows(spark, empty):
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     j = o3.identify(d).join(d.select("doc_id", "lang"), "doc_id").toPandas()
