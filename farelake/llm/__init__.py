@@ -1 +1 @@
-"""Operations of a training-data pipeline: ten operators and their queries."""
+"""Operations of a training-data pipeline: the operators and their queries."""
