@@ -13,11 +13,12 @@ from farelake.llm.op08_vectors import op8_projection_near_dedup
 from farelake.llm.op09_lines import op9_fuzzy_lines
 from farelake.llm.op10_tokens import op10_range_coded_tokens
 from farelake.llm.op11_runs import op11_periodic_runs
+from farelake.llm.op13_packing import op13_vector_packing
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_bottom_k_near_dedup, op3_crf_language, op4_soft_mixing, op5_warc_round_trip,
     op6_byte_prefix_shards, op7_cgk_decontaminate, op8_projection_near_dedup, op9_fuzzy_lines, op10_range_coded_tokens,
-    op11_periodic_runs)}
+    op11_periodic_runs, op13_vector_packing)}
 
 _NEAR = r"""
 WITH RECURSIVE words AS (
