@@ -38,7 +38,7 @@ END_ID = 0
 MAX_TOKENS, MAX_SEGMENTS = 1024, 128
 LEAST_PART = 16
 POOL_IDS = 1 << 20
-GROUP_CHARS = 1 << 19
+GROUP_CHARS = 1 << 20
 SCHEMA = ("id long, start long, length long, loss_tokens long, example_tokens long, sequence_id long, offset long, "
           "segment int, ids binary")
 

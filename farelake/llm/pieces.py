@@ -151,13 +151,15 @@ class PieceTokenizer:
         if self.bytes + size > CACHE_BYTES and self.code:
             self.clear()
             return self.learn(pieces)
-        tokenize, first = self.model.tokenize, len(self.code)
+        tokenize, blank, first = self.model.tokenize, _WRITTEN[32], len(self.code)
         got = []
         for p in new:
             if p == b"\xff" or self.lower and p[0] in b" \t\n\r\x0b\x0c":
                 got.append([])
             else:
-                got.append([t.id for t in tokenize("".join([_WRITTEN[b] for b in p]))])
+                # printable ASCII is written as it is
+                word = blank + p[1:].decode() if p[0] == 32 and p[1:].isalnum() else "".join([_WRITTEN[b] for b in p])
+                got.append([t.id for t in tokenize(word)])
         n = np.fromiter(map(len, got), np.int64, len(got))
         self.code.update(zip(new, range(first, first + len(new))))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(n) - n])
