@@ -13,12 +13,13 @@ from farelake.llm.op08_vectors import op8_projection_near_dedup
 from farelake.llm.op09_lines import op9_fuzzy_lines
 from farelake.llm.op10_tokens import op10_range_coded_tokens
 from farelake.llm.op11_runs import op11_periodic_runs
+from farelake.llm.op12_negatives import op12_angular_negatives
 from farelake.llm.op13_packing import op13_vector_packing
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_bottom_k_near_dedup, op3_crf_language, op4_soft_mixing, op5_warc_round_trip,
     op6_byte_prefix_shards, op7_cgk_decontaminate, op8_projection_near_dedup, op9_fuzzy_lines, op10_range_coded_tokens,
-    op11_periodic_runs, op13_vector_packing)}
+    op11_periodic_runs, op12_angular_negatives, op13_vector_packing)}
 
 _NEAR = r"""
 WITH RECURSIVE words AS (
@@ -77,4 +78,21 @@ SELECT b.page_id, CAST(strlen(b.body) AS BIGINT) AS payload_bytes, b.digest AS p
        CASE WHEN b.page_id = g.keep THEN NULL ELSE g.keep END AS refers_to
 FROM bits b JOIN g ON g.body = b.body"""
 
-ORACLE = {"op2_bottom_k_near_dedup": _NEAR, "op8_projection_near_dedup": _VECTORS, "op5_warc_round_trip": _WARC}
+_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+q AS (
+  SELECT vec_id, label, list_transform(e, lambda x: floor(256 * x)) AS q FROM v
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 10"""
+
+ORACLE = {"op2_bottom_k_near_dedup": _NEAR, "op8_projection_near_dedup": _VECTORS, "op5_warc_round_trip": _WARC, "op12_angular_negatives": _NEGATIVES}
