@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from farelake import fixed
 from farelake.functions import columns as C
+from farelake.sources.raw_files import rejects
 
 HREF_PATTERN = r'href="([^"]+)"'
 
@@ -98,13 +99,11 @@ def pending_files(wanted: DataFrame, loaded: DataFrame, key: str | Sequence[str]
     return wanted.join(loaded.select(*keys).distinct(), keys, "left_anti")
 
 
-REJECT_SCHEMA = "service_type string, year string, filename string, error string"
-
-
-def ingest_rejects(spark: SparkSession, failures: Sequence[Mapping[str, str]]) -> DataFrame:
-    """Failed files (service, year, name, error) as a frame."""
-    rows = [(f.get("service_type"), str(f.get("year")), f.get("filename"), f.get("error")) for f in failures]
-    return spark.createDataFrame(rows, REJECT_SCHEMA)
+def ingest_rejects(wanted: DataFrame, checked: DataFrame) -> DataFrame:
+    """(service_type, year, filename, error) of the wanted monthly files that are
+    missing or faulty; ``checked`` holds each found file's state
+    (``sources.raw_files``)."""
+    return rejects(wanted, checked)
 
 
 def write_rejects(rejects: DataFrame, path: str) -> None:

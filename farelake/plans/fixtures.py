@@ -300,3 +300,65 @@ NEW_FIELDS = [f.name for f in fixed.CONFORMED_TRIP_SCHEMA.fields][19:]
 
 def new_fields_sql(service: str) -> str:
     return ", ".join(conformed_sql(service, n) for n in NEW_FIELDS)
+
+
+# ---- raw layer: monthly files, some of them faulty ------------------------------
+
+def write_raw_layer(spark: SparkSession, d: str, root: str, faults: bool = True) -> None:
+    """Monthly raw files of every service and month of the trips, in folders of
+    their names. With ``faults``: yellow's first file is truncated, green's last
+    one has a broken page, for-hire's first month has no file."""
+    from farelake.sources.raw_files import list_files, logical_files
+    from farelake.session import shared_table
+    t = shared_table(trips(spark, d), "trips")
+    for prefix, service in fixed.SERVICE_BY_FILE_PREFIX.items():
+        raw = raw_from_trips(t, service)
+        ts = F.col(next(c for c in raw.columns if c.lower().endswith("pickup_datetime")))
+        raw = raw.withColumns({"year": F.year(ts), "file": F.concat(F.lit(f"{prefix}_"), F.date_format(ts, "yyyy-MM"), F.lit(".parquet"))})
+        if faults and service == "forHireVehicle":
+            first = raw.agg(F.min("file").alias("f")).first()["f"]
+            raw = raw.where(F.col("file") != first)
+        raw.repartition(16, "file").write.partitionBy("year", "file").parquet(f"{root}/{service}")
+    if faults:
+        for service, last in (("yellowTaxi", False), ("greenTaxi", True)):
+            files = logical_files(list_files(spark, f"{root}/{service}")).orderBy(F.desc("filename") if last else "filename")
+            damage(spark, files.first()["path"], "page" if last else "tail")
+
+
+def damage(spark: SparkSession, path: str, where: str) -> None:
+    """Cut a Parquet file's tail off, or flip bytes in the middle of its pages."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(p)
+    data = bytearray(jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    stream.close()
+    if where == "tail":
+        data = data[:len(data) // 2]
+    else:
+        pages = len(data) - 8 - int.from_bytes(data[-8:-4], "little")
+        for i in range(pages // 2, min(pages // 2 + 16, pages)):
+            data[i] ^= 0xA5
+    out = fs.create(p, True)
+    out.write(data)
+    out.close()
+
+
+_FILE_OF = "CASE service_type " + " ".join(f"WHEN '{s}' THEN '{p}'" for p, s in fixed.SERVICE_BY_FILE_PREFIX.items()) + " END"
+
+#: (service_type, ym, error) of the months of the trips whose file is faulty
+RAW_FAULTS_SQL = f"""SELECT service_type, CASE service_type WHEN 'greenTaxi' THEN max(year(pickup_datetime) * 100 + month(pickup_datetime))
+      ELSE min(year(pickup_datetime) * 100 + month(pickup_datetime)) END AS ym,
+    CASE service_type WHEN 'greenTaxi' THEN 'unreadable data' WHEN 'yellowTaxi' THEN 'unreadable footer' ELSE 'file not found' END AS error
+  FROM ({TRIPS_SQL}) WHERE service_type IN ('greenTaxi', 'yellowTaxi', 'forHireVehicle') GROUP BY service_type"""
+
+RAW_REJECTS_SQL = f"""WITH t AS ({TRIPS_SQL}),
+there AS (SELECT DISTINCT service_type, year(pickup_datetime) * 100 + month(pickup_datetime) AS ym FROM t),
+grid AS (SELECT service_type, y, m, y * 100 + m AS ym FROM (SELECT DISTINCT service_type FROM t WHERE service_type <> 'other'),
+  (SELECT unnest(generate_series(min(year(pickup_datetime)), max(year(pickup_datetime)))) AS y FROM t),
+  (SELECT unnest(generate_series(1, 12)) AS m))
+SELECT g.service_type, CAST(y AS VARCHAR) AS year, {_FILE_OF.replace('service_type', 'g.service_type')} || printf('_%d-%02d.parquet', y, m) AS filename,
+  COALESCE(f.error, 'file not found') AS error
+FROM grid g LEFT JOIN there ON there.service_type = g.service_type AND there.ym = g.ym
+LEFT JOIN ({RAW_FAULTS_SQL}) f ON f.service_type = g.service_type AND f.ym = g.ym
+WHERE there.ym IS NULL OR f.ym IS NOT NULL"""

@@ -3,12 +3,10 @@
 Design for a large cluster:
 
 * one Spark job per service covers all requested months (not a driver loop
-  of one small job per file): each monthly file is opened on its own (a bad
-  file is rejected, months whose types differ are widened by the union) and
-  the union is cleaned and written at once; the write replaces only the
-  year/month partitions present;
-* a missing or unreadable file is reported (rejects frame) and does not stop
-  the other files;
+  of one small job per file); months whose types differ are widened by the
+  union; the write replaces only the year/month partitions present;
+* a missing file, a bad footer or a bad data page is reported (rejects frame)
+  and does not stop the other files (``sources.raw_files``);
 * the conformed union is written once as a staging table and read back, so
   the dimensions and the fact do not each recompute the scans (and the job
   survives executor loss without recomputing from raw);
@@ -20,6 +18,8 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +33,7 @@ from farelake.operators import quality as Q
 from farelake.operators import setops as S
 from farelake.operators.conform import cast_columns, conform_service
 from farelake.sinks import writers as W
+from farelake.sources import raw_files as RF
 from farelake.sources import readers as RD
 
 FILE_NAME_PATTERN = r"_(\d{4})-(\d{2})\.parquet"
@@ -45,50 +46,58 @@ def raw_file_path(raw_root: str, service: str, prefix: str, year: int, month: in
 def job_raw_to_trusted(spark: SparkSession, raw_root: str, trusted_root: str, years: Sequence[int],
                        months: Sequence[int] = range(1, 13), *,
                        services: Mapping[str, str] = fixed.SERVICE_BY_FILE_PREFIX,
-                       fhv_profile: str = "current", max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
+                       fhv_profile: str = "current", max_files: int | None = None, check_data: bool = False) -> tuple[DataFrame, DataFrame]:
     """Clean every wanted monthly file into ``trusted_root/<service>/year=/month=``.
 
     Returns (report, rejects): rows written per service/year/month (read
-    back from the written partitions) and the files that were not found.
+    back from the written partitions), and the months without a file or whose
+    file can't be read.
+
+    A bad footer is found before anything is read. A bad data page ends the
+    write of its service (nothing is committed then); only in that case every
+    file of the service is decoded once to find the bad ones, and the service is
+    written without them. ``check_data`` decodes first in any case.
     """
-    failures = []
-    written = []
+    report, checks = None, None
+    wanted = RF.wanted_files(spark, services, years, months)
     for prefix, service in services.items():
-        frames = []
-        for y in years:
-            for m in months:
-                p = raw_file_path(raw_root, service, prefix, int(y), int(m))
-                name = p.rsplit("/", 1)[-1]
-                if not RD.path_exists(spark, p):
-                    failures.append({"service_type": service, "year": y, "filename": name, "error": "file not found"})
-                    continue
-                try:
-                    # per file: a bad footer is rejected here and does not stop the other files;
-                    # the month comes from the path, not from the data
-                    df = spark.read.parquet(p)
-                except Exception as e:  # noqa: BLE001 - report any unreadable file
-                    failures.append({"service_type": service, "year": y, "filename": name,
-                                     "error": f"{type(e).__name__}: {str(e)}"})
-                    continue
-                # the raw row's identity goes along, the fact's key is made of it
-                frames.append(df.select("*", F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.row_index").alias("src_row"))
-                              .withColumns({"year": F.lit(int(y)), "month": F.lit(int(m))}))
-        if not frames:
-            continue
-        # one job per service: months whose column types differ are widened by the union
-        df = S.union_by_name(frames)
-        cleaned = Q.apply_cleaning(df, service, fhv_profile=fhv_profile)
+        found = RF.logical_files(RF.list_files(spark, f"{raw_root.rstrip('/')}/{service}"))
+        found = found.join(F.broadcast(wanted.where(F.col("prefix") == prefix)), ["prefix", "year", "month", "filename"], "left_semi")
+        checked = _fixed(RF.footer_faults(spark, found))
+        if check_data:
+            checked = _fixed(RF.data_faults(spark, checked))
         target = f"{trusted_root.rstrip('/')}/{service}"
-        W.write_partitioned(cleaned, target, max_files=max_files)
-        written.append((service, target))
-    report = None
-    for service, target in written:
-        r = (RD.scan_partitioned(spark, target, years, months).groupBy("year", "month")
-             .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("service_type", F.lit(service)))
-        report = r if report is None else report.unionByName(r)
+
+        def write(paths: list[str]) -> None:
+            cleaned = Q.apply_cleaning(RF.read_raw(spark, paths), service, fhv_profile=fhv_profile)
+            W.write_partitioned(cleaned, target, max_files=max_files)
+
+        paths = RF.sound_paths(checked)
+        if paths:
+            try:
+                write(paths)
+            except (PySparkException, Py4JJavaError):
+                checked = _fixed(RF.data_faults(spark, checked))
+                sound = RF.sound_paths(checked)
+                if len(sound) == len(paths):
+                    raise               # not the fault of a file
+                paths = sound
+                if paths:
+                    write(paths)
+        if paths and not RD.is_empty_folder(spark, target):   # files without rows leave nothing
+            r = (RD.scan_partitioned(spark, target, years, months).groupBy("year", "month")
+                 .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("service_type", F.lit(service)))
+            report = r if report is None else report.unionByName(r)
+        checks = checked if checks is None else checks.unionByName(checked)
     if report is None:
         report = spark.createDataFrame([], "year int, month int, n_rows bigint, service_type string")
-    return report, IG.ingest_rejects(spark, failures)
+    return report, IG.ingest_rejects(wanted, checks)
+
+
+def _fixed(checked: DataFrame) -> DataFrame:
+    """The files' state as it was found (a row a file): later reads of the rejects
+    don't look at the files again."""
+    return checked.sparkSession.createDataFrame(checked.collect(), checked.schema)
 
 
 def trusted_paths(trusted_root: str, services: Sequence[str] = fixed.SERVICE_TYPES) -> dict[str, str]:

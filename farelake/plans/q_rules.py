@@ -238,7 +238,7 @@ def q_union_by_name(spark, d):
 @register("union_strict", f"""SELECT * FROM ({CONFORMED_SQL}) WHERE service_type IN ('yellowTaxi', 'greenTaxi')""")
 def q_union_strict(spark, d):
     from farelake.operators.conform import conform_service
-    return S.union_strict([conform_service(raw(spark, d, s), s) for s in ("yellowTaxi", "greenTaxi")])
+    return S.union_strict([conform_service(fx.raw_from_trips(T(spark, d), s, full=True), s) for s in ("yellowTaxi", "greenTaxi")])
 
 
 @register("union_labelled", f"""{WT}

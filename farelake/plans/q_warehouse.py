@@ -270,3 +270,30 @@ def q_job_trusted_to_dw(spark, d):
     fact = job_trusted_to_dw(spark, trusted_from_trips(spark, d), scratch(spark, "dw"),
                              companies=fx.companies(spark, d), licences=fx.licences(spark, d))
     return _keyed(fact)
+
+
+# ---- 2.13 raw -> trusted over a raw layer with faulty files -----------------------
+
+def raw_to_trusted(spark, d):
+    """The job over monthly raw files written from the trips, three of them
+    faulty: (report, rejects)."""
+    from farelake.plans.jobs import job_raw_to_trusted
+    from farelake.plans.q_sources import scratch
+    raw = scratch(spark, "raw")
+    fx.write_raw_layer(spark, d, raw)
+    lo, hi = T(spark, d).agg(F.min(F.year("pickup_datetime")), F.max(F.year("pickup_datetime"))).first()
+    return job_raw_to_trusted(spark, raw, scratch(spark, "trusted"), range(lo, hi + 1))
+
+
+@register("job_raw_to_trusted", f"""WITH c AS (SELECT *, year(pickup_datetime) AS y, month(pickup_datetime) AS m FROM ({_clean_conformed_sql()}))
+SELECT c.service_type, CAST(y AS INTEGER) AS year, CAST(m AS INTEGER) AS month, count(*) AS n_rows
+FROM c LEFT JOIN ({fx.RAW_FAULTS_SQL}) f ON f.service_type = c.service_type AND f.ym = y * 100 + m
+WHERE f.ym IS NULL GROUP BY c.service_type, y, m""")
+def q_job_raw_to_trusted(spark, d):
+    return raw_to_trusted(spark, d)[0]
+
+
+@register("ingest_rejects", fx.RAW_REJECTS_SQL)
+def q_ingest_rejects(spark, d):
+    """The rejects of that job; the error without its details."""
+    return raw_to_trusted(spark, d)[1].withColumn("error", F.substring_index("error", ":", 1))

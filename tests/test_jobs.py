@@ -223,3 +223,37 @@ def test_stream_merges_a_second_file_and_rejects_unmatched_names(spark, tmp_dir)
     rejects = spark.read.parquet(f"{trusted}/_rejects/*").collect()
     assert rejects and all("notes.parquet" in r.filename for r in rejects)
     assert run() == second
+
+
+def test_a_broken_page_stops_its_file_only(spark, tmp_dir):
+    """Footer fine, a page flipped: found by decoding, the other files are written."""
+    from farelake.sources import raw_files as RF
+    raw, trusted = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "trusted")
+    fx.write_raw_layer(spark, SF_SMALL, raw)
+    last = RF.logical_files(RF.list_files(spark, f"{raw}/greenTaxi")).agg(F.max("year")).first()[0]
+    years = [last - 1, last]
+    report, rejects = J.job_raw_to_trusted(spark, raw, trusted, years, services={"green_tripdata": "greenTaxi"})
+    bad = [r for r in rejects.collect() if r.error != RF.NOT_FOUND]
+    assert len(bad) == 1 and bad[0].error.startswith(RF.NO_DATA) and " of " in bad[0].error
+    months = {f"green_tripdata_{r.year}-{r.month:02d}.parquet" for r in report.collect()}
+    assert bad[0].filename not in months and len(months) > 12
+    # the same when every file is decoded first
+    again, more = J.job_raw_to_trusted(spark, raw, os.path.join(tmp_dir, "t2"), years, services={"green_tripdata": "greenTaxi"}, check_data=True)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, report.collect()))
+    assert sorted(map(tuple, more.collect())) == sorted(map(tuple, rejects.collect()))
+
+
+def test_files_without_rows_and_without_footer(spark, tmp_dir):
+    from farelake.sources import raw_files as RF
+    raw = os.path.join(tmp_dir, "raw")
+    y = fx.raw_service(spark, SF_SMALL, "yellowTaxi")
+    y.limit(0).coalesce(1).write.parquet(J.raw_file_path(raw, "yellowTaxi", "yellow_tripdata", 1996, 1))
+    y.limit(5).coalesce(1).write.parquet(J.raw_file_path(raw, "yellowTaxi", "yellow_tripdata", 1996, 2))
+    files = RF.logical_files(RF.list_files(spark, raw))
+    fx.damage(spark, files.where("month = 2").first()["path"], "tail")
+    state = {r.month: (r.footer_rows, r.error) for r in RF.footer_faults(spark, files).collect()}
+    assert state[1] == (0, None) and state[2][0] is None and state[2][1].startswith(RF.NO_FOOTER)
+    assert RF.list_files(spark, os.path.join(tmp_dir, "none")).collect() == []
+    report, rejects = J.job_raw_to_trusted(spark, raw, os.path.join(tmp_dir, "t"), [1996], [1, 2, 3], services={"yellow_tripdata": "yellowTaxi"})
+    assert report.collect() == []
+    assert {r.filename[-10:-8]: r.error.split(":")[0] for r in rejects.collect()} == {"02": RF.NO_FOOTER, "03": RF.NOT_FOUND}
