@@ -11,7 +11,8 @@ Design for a large cluster:
   the dimensions and the fact do not each recompute the scans (and the job
   survives executor loss without recomputing from raw);
 * dimension keys are extended, not recomputed, so keys of existing codes are
-  the same in every monthly run.
+  the same in every monthly run;
+* all tables of a run are committed at once by a manifest (``sinks.commits``).
 """
 
 from __future__ import annotations
@@ -31,8 +32,11 @@ from farelake.operators import facts as FT
 from farelake.operators import ingest as IG
 from farelake.operators import quality as Q
 from farelake.operators import setops as S
+from farelake.functions.columns import code_label
 from farelake.operators.conform import cast_columns, conform_service
+from farelake.session import shared_table
 from farelake.sinks import writers as W
+from farelake.sinks.commits import Transaction, read_table
 from farelake.sources import raw_files as RF
 from farelake.sources import readers as RD
 
@@ -133,73 +137,65 @@ def job_unify_trips(spark: SparkSession, trusted_root: str, out: str, years=None
                   partition_cols=None)
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if RD.path_exists(spark, path) else None
-
-
-def _update_coded_dim(spark, dw: str, name: str, trips: DataFrame, code: str, sk: str, label_col: str,
+def _update_coded_dim(tx: Transaction, name: str, trips: DataFrame, code: str, sk: str, label_col: str,
                       labels, default) -> DataFrame:
-    path = f"{dw}/{name}"
-    existing = _read_or_none(spark, path)
     codes = trips.select(F.col(code).cast("bigint").alias(code)).where(F.col(code).isNotNull()).distinct()
-    keyed = D.extend_dimension(existing.select(sk, code) if existing is not None else None, codes, code, sk)
-    from farelake.functions.columns import code_label
-    dim = keyed.withColumn(label_col, code_label(code, labels, default)).select(sk, code, label_col)
-    staged = f"{dw}/_staging/{name}"
-    W.write_table(dim, staged)          # written before the target is replaced (it reads it)
-    W.write_table(spark.read.parquet(staged), path)
-    return spark.read.parquet(path)
+    named = codes.withColumn(label_col, code_label(code, labels, default))
+    return _update_dim(tx, name, named, code, sk, [sk, code, label_col])
 
 
-def _update_dim(spark: SparkSession, dw: str, name: str, fresh: DataFrame, natural: str, sk: str | None) -> DataFrame:
+def _update_dim(tx: Transaction, name: str, fresh: DataFrame, natural: str, sk: str | None,
+                columns: Sequence[str] | None = None) -> DataFrame:
     """Add the rows of ``fresh`` whose natural key is new, numbered behind the
-    keys given so far; rows and keys that are there stay."""
-    path, staged = f"{dw}/{name}", f"{dw}/_staging/{name}"
-    existing = _read_or_none(spark, path)
+    keys given so far; rows and keys that are there stay, and a table without
+    new rows is not written again."""
+    existing = tx.read(name)
+    top = 0
     if existing is not None:
-        new = fresh.join(existing.select(natural), natural, "left_anti")
-        if sk:
-            top = existing.agg(F.max(sk)).first()[0] or 0       # one scalar
-            new = dense_index(new.drop(sk), [natural], sk, start=int(top) + 1)
-        fresh = existing.unionByName(new.select(*existing.columns))
-    W.write_table(fresh, staged)        # written before the target is replaced (it reads it)
-    W.write_table(spark.read.parquet(staged), path)
-    return spark.read.parquet(path)
+        fresh = shared_table(fresh.join(existing.select(natural), natural, "left_anti"), name)
+        if not fresh.take(1):
+            return existing
+        top = (existing.agg(F.max(sk)).first()[0] or 0) if sk else 0       # one scalar
+    if sk:
+        fresh = dense_index(fresh.drop(sk), [natural], sk, start=int(top) + 1)
+    columns = columns or ([sk] if sk else []) + [c for c in fresh.columns if c != sk]
+    fresh = fresh.select(*columns)
+    return tx.stage(name, fresh if existing is None else existing.unionByName(fresh))
 
 
 def job_trusted_to_dw(spark: SparkSession, trusted_root: str, dw_root: str, years=None, months=None, *,
                       zones: DataFrame | None = None, companies: DataFrame | None = None,
                       licences: DataFrame | None = None) -> DataFrame:
-    """Conform + union once (staged), dimensions (keys extended), fact
-    partitioned by year/month (only the months of this run are replaced)."""
+    """Conform + union once (staged), dimensions (keys extended), fact by
+    year/month (only the months of this run are replaced), committed together:
+    a run that stops on the way leaves the warehouse as it was
+    (``sinks.commits``; tables are read by ``read_table``)."""
     dw = dw_root.rstrip("/")
-    staging = f"{dw}/_staging/trips"
-    W.write_table(conform_trusted(spark, trusted_root, years, months), staging)
-    trips = spark.read.parquet(staging)
+    tx = Transaction(spark, dw)
+    trips = shared_table(conform_trusted(spark, trusted_root, years, months), "dw-trips")
 
-    vendor = _update_coded_dim(spark, dw, "dim_vendor", trips, "id_vendor", "sk_vendor", "vendor_description",
+    vendor = _update_coded_dim(tx, "dim_vendor", trips, "id_vendor", "sk_vendor", "vendor_description",
                                fixed.VENDOR_LABELS, fixed.VENDOR_DEFAULT)
-    payment = _update_coded_dim(spark, dw, "dim_payment_type", trips, "id_payment_type", "sk_payment_type",
+    payment = _update_coded_dim(tx, "dim_payment_type", trips, "id_payment_type", "sk_payment_type",
                                 "payment_type_description", fixed.PAYMENT_LABELS, fixed.PAYMENT_DEFAULT)
-    rate = _update_coded_dim(spark, dw, "dim_rate", trips, "id_rate", "sk_ratecode", "ratecode_description",
+    rate = _update_coded_dim(tx, "dim_rate", trips, "id_rate", "sk_ratecode", "ratecode_description",
                              fixed.RATE_LABELS, fixed.RATE_DEFAULT)
-    service = _update_dim(spark, dw, "dim_service_type", D.dim_service_type(trips), "id_service_type", "sk_service_type")
+    service = _update_dim(tx, "dim_service_type", D.dim_service_type(trips), "id_service_type", "sk_service_type")
     comp = lic = None
     if zones is not None:
-        _update_dim(spark, dw, "dim_location", D.dim_location(zones), "id_location", "sk_location")
+        _update_dim(tx, "dim_location", D.dim_location(zones), "id_location", "sk_location")
     if companies is not None:
-        comp = _update_dim(spark, dw, "dim_companies_hv", D.dim_companies_hv(companies), "id_hvfhs_license_num", "sk_company_hv")
+        comp = _update_dim(tx, "dim_companies_hv", D.dim_companies_hv(companies), "id_hvfhs_license_num", "sk_company_hv")
     if licences is not None:
-        lic = _update_dim(spark, dw, "dim_license_number", D.dim_license_number(licences), "id_license_number", "sk_license_number")
-    _update_dim(spark, dw, "dim_time", D.dim_time(trips), "sk_time", None)
+        lic = _update_dim(tx, "dim_license_number", D.dim_license_number(licences), "id_license_number", "sk_license_number")
+    _update_dim(tx, "dim_time", D.dim_time(trips), "sk_time", None)
 
     # source files are numbered once for all runs, so keys of different runs never meet
-    files = _update_dim(spark, dw, "source_files", dense_index(trips.select("src_file").where("src_file is not null").distinct(), ["src_file"], "file_no"),
-                        "src_file", "file_no")
+    files = _update_dim(tx, "source_files", trips.select("src_file").where("src_file is not null").distinct(), "src_file", "file_no")
 
-    fact = FT.fact_trip(trips, vendor, payment, rate, service, comp, lic, files)
-    W.write_partitioned(fact, f"{dw}/fact_taxi_trip")
-    return RD.scan_partitioned(spark, f"{dw}/fact_taxi_trip", years, months)
+    tx.stage_partitions("fact_taxi_trip", FT.fact_trip(trips, vendor, payment, rate, service, comp, lic, files))
+    tx.commit()
+    return read_table(spark, dw, "fact_taxi_trip", years, months)
 
 
 def job_publish(spark: SparkSession, dw_root: str, url: str, options: Mapping[str, str] | None = None,

@@ -263,8 +263,8 @@ def q_job_unify_trips(spark, d):
 @register("job_trusted_to_dw", FACT_SQL.replace(f"WITH c AS ({CONFORMED_SQL})", f"WITH c AS ({_clean_conformed_sql()})")
           .replace("SELECT dp.sk AS fk_payment_type", f"SELECT {KEYED_SQL}, dp.sk AS fk_payment_type"))
 def q_job_trusted_to_dw(spark, d):
-    """The warehouse job (staging, dimensions, partitioned fact) over a trusted
-    layer built from the trips; the written fact is read back."""
+    """The warehouse job (staging, dimensions, partitioned fact, commit) over a
+    trusted layer built from the trips; the committed fact is read back."""
     from farelake.plans.jobs import job_trusted_to_dw
     from farelake.plans.q_sources import scratch
     fact = job_trusted_to_dw(spark, trusted_from_trips(spark, d), scratch(spark, "dw"),
@@ -272,6 +272,39 @@ def q_job_trusted_to_dw(spark, d):
     return _keyed(fact)
 
 
+def _extended(source: str) -> str:
+    """Keys of two runs: codes of the first years, then those that the later years add."""
+    return (f"WITH c0 AS ({source}), c AS (SELECT *, CASE WHEN year(pickup_datetime) <= (SELECT (min(year(pickup_datetime)) + max(year(pickup_datetime))) // 2 "
+            f"FROM ({fx.TRIPS_SQL})) THEN 1 ELSE 2 END AS run FROM c0)")
+
+
+def _extended_dim(sk: str, col: str, kind: str, name: str) -> str:
+    return (f"SELECT row_number() OVER (ORDER BY run, {col}) AS {sk}, {col} AS {name} "
+            f"FROM (SELECT CAST({col} AS {kind}) AS {col}, min(run) AS run FROM c WHERE {col} IS NOT NULL GROUP BY 1)")
+
+
+TWO_RUNS_SQL = (FACT_SQL.replace(f"WITH c AS ({CONFORMED_SQL})", _extended(_clean_conformed_sql()))
+                .replace(_dense_sql("sk", "id_vendor", "c"), _extended_dim("sk", "id_vendor", "BIGINT", "id_vendor"))
+                .replace(_dense_sql("sk", "id_payment_type", "c"), _extended_dim("sk", "id_payment_type", "BIGINT", "id_payment_type"))
+                .replace(_dense_sql("sk", "id_rate", "c"), _extended_dim("sk", "id_rate", "BIGINT", "id_rate"))
+                .replace(SERVICE_DIM_SQL.format(src="c"), _extended_dim("sk_service_type", "service_type", "VARCHAR", "id_service_type"))
+                .replace("SELECT dp.sk AS fk_payment_type", f"SELECT {KEYED_SQL}, dp.sk AS fk_payment_type"))
+
+
+@register("job_trusted_to_dw_two_runs", TWO_RUNS_SQL)
+def q_job_trusted_to_dw_two_runs(spark, d):
+    """The warehouse job for the first half of the years, then for the second:
+    the fact of both, with the keys of the first run kept."""
+    from farelake.plans.jobs import job_trusted_to_dw
+    from farelake.plans.q_sources import scratch
+    from farelake.sinks.commits import read_table
+    trusted, dw = trusted_from_trips(spark, d), scratch(spark, "dw")
+    lo, hi = T(spark, d).agg(F.min(F.year("pickup_datetime")), F.max(F.year("pickup_datetime"))).first()
+    for years in (range(lo, (lo + hi) // 2 + 1), range((lo + hi) // 2 + 1, hi + 1)):
+        job_trusted_to_dw(spark, trusted, dw, years, companies=fx.companies(spark, d), licences=fx.licences(spark, d))
+    return _keyed(read_table(spark, dw, "fact_taxi_trip"))
+
+
 # ---- 2.13 raw -> trusted over a raw layer with faulty files -----------------------
 
 def raw_to_trusted(spark, d):

@@ -86,10 +86,11 @@ def write_jdbc_append(df: DataFrame, url: str, table: str, options: Mapping[str,
 def export_tables(spark: SparkSession, base: str, tables: Sequence[str], url: str,
                   options: Mapping[str, str] | None = None, num_partitions: int | None = 8) -> DataFrame:
     """Each warehouse table: Parquet -> JDBC; returns (table, n_rows, n_written)."""
+    from farelake.sinks.commits import read_table, table_exists
     from farelake.sources.readers import scan_jdbc
     report = []
     for t in tables:
-        df = spark.read.parquet(f"{base.rstrip('/')}/{t}")
+        df = read_table(spark, base, t) if table_exists(spark, base, t) else spark.read.parquet(f"{base.rstrip('/')}/{t}")
         n = df.count()
         write_jdbc_overwrite(df, url, t, options, num_partitions)
         written = scan_jdbc(spark, url, t, options).count()

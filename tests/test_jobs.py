@@ -2,11 +2,15 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from farelake import fixed
 from farelake.plans import fixtures as fx
 from farelake.plans import jobs as J
+from farelake.sinks import commits
+from farelake.sinks.commits import read_table
 from farelake.sources import readers as RD
 from tests.conftest import SF_SMALL
 
@@ -46,11 +50,11 @@ def test_raw_to_trusted_to_dw(spark, tmp_dir):
     n = fact.count()
     assert n == J.conform_trusted(spark, trusted, [1996], [1, 2]).count()
     assert fact.where(F.col("fk_service_type").isNull()).count() == 0
-    keys_before = {r["id_vendor"]: r["sk_vendor"] for r in spark.read.parquet(f"{dw}/dim_vendor").collect()}
+    keys_before = {r["id_vendor"]: r["sk_vendor"] for r in read_table(spark, dw, "dim_vendor").collect()}
     J.job_trusted_to_dw(spark, trusted, dw, [1996], [1, 2])
-    keys_after = {r["id_vendor"]: r["sk_vendor"] for r in spark.read.parquet(f"{dw}/dim_vendor").collect()}
+    keys_after = {r["id_vendor"]: r["sk_vendor"] for r in read_table(spark, dw, "dim_vendor").collect()}
     assert keys_before == keys_after
-    assert RD.scan_partitioned(spark, f"{dw}/fact_taxi_trip").count() == n
+    assert read_table(spark, dw, "fact_taxi_trip").count() == n
 
 
 def test_unify_and_audit(spark, tmp_dir):
@@ -173,17 +177,17 @@ def test_a_later_month_keeps_earlier_rows_and_keys(spark, tmp_dir):
     first, late = (spark.createDataFrame(r, yellow.schema) for r in (rows[:10], rows[10:]))
     write_partitioned(first, f"{trusted}/yellowTaxi")
     job_trusted_to_dw(spark, trusted, dw, [year], [month])
-    before = {r.id_service_type: r.sk_service_type for r in spark.read.parquet(f"{dw}/dim_service_type").collect()}
-    days = spark.read.parquet(f"{dw}/dim_time").count()
+    before = {r.id_service_type: r.sk_service_type for r in read_table(spark, dw, "dim_service_type").collect()}
+    days = read_table(spark, dw, "dim_time").count()
     write_partitioned(late.withColumn("month", F.lit(month + 1).cast("int")), f"{trusted}/yellowTaxi")
     fhv = spark.read.parquet(f"{root}/forHireVehicle").limit(5).withColumns({"year": F.lit(year).cast("int"), "month": F.lit(month + 1).cast("int")})
     write_partitioned(fhv, f"{trusted}/forHireVehicle")
     job_trusted_to_dw(spark, trusted, dw, [year], [month + 1])
-    fact = spark.read.parquet(f"{dw}/fact_taxi_trip")
+    fact = read_table(spark, dw, "fact_taxi_trip")
     assert fact.where("service_type = 'yellowTaxi'").count() == 13 and fact.where("service_type = 'forHireVehicle'").count() == 5
-    after = {r.id_service_type: r.sk_service_type for r in spark.read.parquet(f"{dw}/dim_service_type").collect()}
+    after = {r.id_service_type: r.sk_service_type for r in read_table(spark, dw, "dim_service_type").collect()}
     assert after["yellowTaxi"] == before["yellowTaxi"] and len(set(after.values())) == 2
-    time = spark.read.parquet(f"{dw}/dim_time")
+    time = read_table(spark, dw, "dim_time")
     assert time.count() >= days and time.count() == time.select("sk_time").distinct().count()
 
 
@@ -193,11 +197,11 @@ def test_trip_keys_are_unique_over_runs(spark, tmp_dir):
     for month in (1, 2):
         J.job_raw_to_trusted(spark, raw, trusted, [1996], [month])
         J.job_trusted_to_dw(spark, trusted, dw, [1996], [month])
-    keys = [r.sk_trip for r in spark.read.parquet(f"{dw}/fact_taxi_trip").select("sk_trip").collect()]
+    keys = [r.sk_trip for r in read_table(spark, dw, "fact_taxi_trip").select("sk_trip").collect()]
     assert keys and None not in keys and len(set(keys)) == len(keys)
     # a run again gives the same keys
     J.job_trusted_to_dw(spark, trusted, dw, [1996], [1])
-    again = [r.sk_trip for r in spark.read.parquet(f"{dw}/fact_taxi_trip").select("sk_trip").collect()]
+    again = [r.sk_trip for r in read_table(spark, dw, "fact_taxi_trip").select("sk_trip").collect()]
     assert sorted(again) == sorted(keys)
 
 
@@ -257,3 +261,68 @@ def test_files_without_rows_and_without_footer(spark, tmp_dir):
     report, rejects = J.job_raw_to_trusted(spark, raw, os.path.join(tmp_dir, "t"), [1996], [1, 2, 3], services={"yellow_tripdata": "yellowTaxi"})
     assert report.collect() == []
     assert {r.filename[-10:-8]: r.error.split(":")[0] for r in rejects.collect()} == {"02": RF.NO_FOOTER, "03": RF.NOT_FOUND}
+
+
+def _state(spark, dw):
+    names = ("dim_vendor", "dim_payment_type", "dim_service_type", "dim_license_number", "source_files", "fact_taxi_trip")
+    return {n: sorted((tuple(r) for r in read_table(spark, dw, n).collect()), key=repr) for n in names}
+
+
+def test_a_run_that_stops_changes_nothing(spark, tmp_dir, monkeypatch):
+    """The second month brings new services and files. It stops after the
+    dimensions, after the fact and after the claim; then it runs again."""
+    raw, trusted, dw = (os.path.join(tmp_dir, x) for x in ("raw", "trusted", "dw"))
+    write_raw(spark, raw)
+    J.job_raw_to_trusted(spark, raw, trusted, [1996], [1, 2])
+    run = lambda month: J.job_trusted_to_dw(spark, trusted, dw, [1996], [month], licences=fx.licences(spark, SF_SMALL))
+    run(1)
+    before = _state(spark, dw)
+
+    def stop(*a, **k):
+        raise RuntimeError("stopped")
+    for what in ("stage_partitions", "commit"):
+        with monkeypatch.context() as m:
+            m.setattr(commits.Transaction, what, stop)
+            with pytest.raises(RuntimeError):
+                run(2)
+        assert _state(spark, dw) == before
+    with monkeypatch.context() as m:
+        m.setattr(commits.json, "dumps", stop)      # the number is claimed, the manifest is not written
+        with pytest.raises(RuntimeError):
+            run(2)
+    assert _state(spark, dw) == before
+    run(2)
+    after = _state(spark, dw)
+    for name in ("dim_vendor", "dim_payment_type", "dim_service_type", "dim_license_number", "source_files"):
+        assert set(before[name]) <= set(after[name])
+    assert set(before["fact_taxi_trip"]) < set(after["fact_taxi_trip"])
+    run(1)
+    assert _state(spark, dw) == after
+
+
+def test_transactions(spark, tmp_dir):
+    dw = os.path.join(tmp_dir, "dw")
+    df = spark.createDataFrame([(1, 1996, 1), (2, 1996, 2)], "a int, year int, month int")
+    one, two = commits.Transaction(spark, dw), commits.Transaction(spark, dw)
+    assert one.read("t") is None and commits.snapshot(spark, dw) == {}
+    one.stage("dim", df.select("a"))
+    one.stage_partitions("t", df)
+    two.stage("dim", df.select("a").limit(0))
+    one.commit()
+    with pytest.raises(commits.ConcurrentCommit):
+        two.commit()
+    assert read_table(spark, dw, "dim").count() == 2
+    three = commits.Transaction(spark, dw)
+    three.stage_partitions("t", spark.createDataFrame([(7, 1996, 2), (8, 1997, 1)], df.schema))
+    assert three.read("dim").count() == 2
+    three.commit()
+    rows = lambda **k: sorted(tuple(r) for r in read_table(spark, dw, "t", **k).select("a", "year", "month").collect())
+    assert rows() == [(1, 1996, 1), (7, 1996, 2), (8, 1997, 1)]
+    assert rows(years=[1996], months=[2]) == [(7, 1996, 2)] and rows(years=[2001]) == []
+    for _ in range(2):
+        last = commits.Transaction(spark, dw)
+        last.stage("dim", df.select("a"))
+        last.commit()
+    gone = commits.vacuum(spark, dw, keep=1)
+    assert len(gone) == 2 and all(g.startswith("dim/") for g in gone)
+    assert rows() == [(1, 1996, 1), (7, 1996, 2), (8, 1997, 1)] and read_table(spark, dw, "dim").count() == 2
