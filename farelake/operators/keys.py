@@ -22,16 +22,23 @@ from pyspark.sql import functions as F
 from farelake.operators.joins import checked_broadcast
 from farelake.session import shared_table
 
+FEW_ROWS = 2_000  # numbered without a stored layout
 ROW_BITS = 40  # up to 2^40 rows per source file
 
 
 def dense_index(df: DataFrame, order_cols: Sequence[str], name: str, start: int = 1,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, few_rows: int = FEW_ROWS) -> DataFrame:
     """Add ``name`` = position of each row in ``order_cols`` order (from ``start``).
 
-    ``order_cols`` should be unique per row for a deterministic numbering.
+    ``order_cols`` should be unique per row for a deterministic numbering. At most
+    ``few_rows`` rows, by an exact count while they are fetched, are numbered
+    as they are, without a stored layout; the numbers are the same.
     """
     order_cols = list(order_cols)
+    rows = df.limit(few_rows + 1).collect()
+    if len(rows) <= few_rows:
+        local = df.sparkSession.createDataFrame(rows, schema=df.schema, verifySchema=False)
+        return local.withColumn(name, (F.row_number().over(Window.orderBy(*order_cols)) + F.lit(start - 1)).cast("bigint"))
     n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # stored: a second evaluation could sample other bounds, and offsets would not fit the rows
     ranged = shared_table(df.repartitionByRange(n_parts, *order_cols).withColumn("__pid", F.spark_partition_id()), "dense-index")

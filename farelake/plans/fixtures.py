@@ -195,6 +195,47 @@ SELECT -s_suppkey AS id, s_name AS name, 'SUPPLIER' AS segment FROM supplier
 """
 
 
+def rides(spark: SparkSession, d: str) -> DataFrame:
+    """Trips with their customer: order and line, pickup, customer, total."""
+    li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("l_orderkey").alias("order_no"), F.col("l_linenumber").alias("line_no"), F.col("o_orderdate").alias("pickup_datetime"),
+        F.col("o_custkey").alias("customer"), (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("total_amount"))
+
+
+RIDES_SQL = """
+SELECT l_orderkey AS order_no, l_linenumber AS line_no, o_orderdate AS pickup_datetime, o_custkey AS customer,
+       l_extendedprice * (1 + l_tax) AS total_amount
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+"""
+
+
+#: days of the three snapshots of the customer history
+HISTORY_DAYS = ("1993-01-01", "1995-06-01", "1997-03-15")
+
+
+def customer_history(spark: SparkSession, d: str) -> DataFrame:
+    """Type-2 history of customers, merged from three snapshots: keys divisible
+    by 7 come with the second, by 10 change segment there, by 3 in the third."""
+    from farelake.operators.scd2 import scd2_initial, scd2_merge
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"))
+    second = c.withColumn("segment", F.when(F.col("id") % 10 == 0, F.lower("segment")).otherwise(F.col("segment")))
+    third = second.withColumn("segment", F.when(F.col("id") % 3 == 0, F.concat(F.lit("NEW "), "segment")).otherwise(F.col("segment")))
+    first, middle, last = HISTORY_DAYS
+    history = scd2_initial(c.where("id % 7 <> 0"), "id", ["segment"], first)
+    for day, snap in ((middle, second), (last, third)):
+        history = scd2_merge(snap, history, "id", ["segment"], day)
+    return history
+
+
+CUSTOMER_AT_SQL = f"""SELECT r.*, CASE
+    WHEN pickup_datetime < DATE '{HISTORY_DAYS[0]}' OR (customer % 7 = 0 AND pickup_datetime < DATE '{HISTORY_DAYS[1]}') THEN NULL
+    ELSE (CASE WHEN pickup_datetime >= DATE '{HISTORY_DAYS[2]}' AND customer % 3 = 0 THEN 'NEW ' ELSE '' END)
+      || (CASE WHEN pickup_datetime >= DATE '{HISTORY_DAYS[1]}' AND customer % 10 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END)
+    END AS customer_segment
+  FROM ({RIDES_SQL}) r LEFT JOIN customer ON c_custkey = customer"""
+
+
 # ---- raw-shaped inputs: aliases of T filtered by service ---------------------
 
 def _flag(col: str) -> str:

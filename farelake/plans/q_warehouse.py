@@ -132,19 +132,32 @@ LEFT JOIN co ON c.id_hvfhs_license_num = co.id_hvfhs_license_num
 LEFT JOIN li ON c.id_license_number = li.id_license_number"""
 
 
-def build_fact(spark, d, with_key: bool = False):
+def build_fact(spark, d):
     # the trips view is staged once inside ``conformed_all``; the dimensions
     # and the fact read the staged table (narrow conform on top)
-    trips = conformed_all(spark, d)
-    fact = FT.fact_trip(trips, D.dim_vendor(trips), D.dim_payment_type(trips), D.dim_rate(trips),
+    trips = conformed_all(spark, d, with_source=True)
+    return FT.fact_trip(trips, D.dim_vendor(trips), D.dim_payment_type(trips), D.dim_rate(trips),
                         D.dim_service_type(trips), D.dim_companies_hv(fx.companies(spark, d)),
                         D.dim_license_number(fx.licences(spark, d)))
-    return fact if with_key else fact.drop("sk_trip")
 
 
-@register("fact_trip", FACT_SQL)
+def _has_key(fact):
+    """A fact with its key replaced by whether it is given."""
+    return fact.withColumn("has_key", F.col("sk_trip").isNotNull()).drop("sk_trip")
+
+
+@register("fact_trip", FACT_SQL.replace("SELECT dp.sk AS fk_payment_type", "SELECT TRUE AS has_key, dp.sk AS fk_payment_type"))
 def q_fact_trip(spark, d):
-    return build_fact(spark, d)
+    return _has_key(build_fact(spark, d))
+
+
+@register("fact_trip_keys", f"SELECT service_type, count(*) AS n_rows, count(*) AS n_keys FROM ({CONFORMED_SQL}) GROUP BY service_type")
+def q_fact_trip_keys(spark, d):
+    """The fact's key alone: rows and distinct keys of each service."""
+    from farelake.operators.keys import trip_key
+    keys = trip_key(conformed_all(spark, d, with_source=True).select("service_type", "src_file", "src_row"))
+    one = keys.groupBy("service_type", "sk_trip").agg(F.count(F.lit(1)).alias("n"))
+    return one.groupBy("service_type").agg(F.sum("n").alias("n_rows"), F.count("sk_trip").alias("n_keys"))
 
 
 def _keyed(fact):
@@ -155,7 +168,7 @@ def _keyed(fact):
 
 KEYED_SQL = "TRUE AS has_key, CAST(1 AS BIGINT) AS rows_of_key"
 
-WIDE_SQL = f"""SELECT c.*, {KEYED_SQL}, CAST(NULL AS BOOLEAN) AS has_problem, CAST(NULL AS VARCHAR) AS problem_description, {DUR()} AS trip_duration_minutes, CAST(pickup_datetime AS DATE) AS pickup_date,
+WIDE_SQL = f"""SELECT c.*, TRUE AS has_key, CAST(NULL AS BOOLEAN) AS has_problem, CAST(NULL AS VARCHAR) AS problem_description, {DUR()} AS trip_duration_minutes, CAST(pickup_datetime AS DATE) AS pickup_date,
   CAST(dropoff_datetime AS DATE) AS dropoff_date, dayname(pickup_datetime) AS weekday,
   CAST(hour(pickup_datetime) AS INTEGER) AS hour, CAST(strftime(dropoff_datetime, '%d%m%Y') AS INTEGER) AS fk_time,
   CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetime) AS INTEGER) AS month
@@ -164,7 +177,7 @@ FROM ({CONFORMED_SQL}) c"""
 
 @register("fact_trip_wide", WIDE_SQL)
 def q_fact_trip_wide(spark, d):
-    return _keyed(FT.fact_trip_wide(conformed_all(spark, d, with_source=True)))
+    return _has_key(FT.fact_trip_wide(conformed_all(spark, d, with_source=True)))
 
 
 SCD2_SQL = f"""WITH cur AS ({fx.SCD2_CURRENT_SQL}), snap AS ({fx.SCD2_SNAPSHOT_SQL}),
@@ -187,6 +200,14 @@ def q_scd2_merge(spark, d):
     return scd2_merge(fx.scd2_snapshot(spark, d), fx.scd2_current(spark, d), "id", ["name", "segment"], "2024-06-01")
 
 
+@register("asof_customer_version", fx.CUSTOMER_AT_SQL)
+def q_asof_customer_version(spark, d):
+    """Each trip with the customer version valid at its pickup."""
+    from farelake.operators.asof import asof_join
+    return asof_join(fx.rides(spark, d), fx.customer_history(spark, d), "customer", "pickup_datetime", ["segment"],
+                     version_key="id", prefix="customer_")
+
+
 @register("surrogate_key", "SELECT row_number() OVER (ORDER BY c_nationkey, c_custkey) AS sk_customer, * FROM customer")
 def q_surrogate_key(spark, d):
     from farelake.operators.keys import dense_index
