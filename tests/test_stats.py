@@ -93,3 +93,33 @@ def test_approx_method_for_box_and_describe(spark):
     assert abs(box["0"]["median"] - 1000) <= 10 and box["0"]["n"] == 1001
     d = {r["stat"]: r["x"] for r in ST.describe_numeric(df, ["x"], method="approx").collect()}
     assert d["count"] == 2001 and abs(d["50%"] - 1000) <= 10
+
+
+@pytest.mark.parametrize("accuracy,few", [(10_000, 200_000), (20, 40), (200, 100)])
+def test_brackets_narrow_to_the_exact_values(spark, accuracy, few):
+    """Coarse sketches and small limits force several narrowing passes; one group
+    holds nine tenths of the rows, one value a third of it."""
+    rng = np.random.default_rng(21)
+    hot = np.where(rng.random(9000) < 0.33, 7.0, rng.normal(0, 50, 9000))
+    groups = {"hot": (hot, rng.integers(0, 3, 9000).astype(float)), None: (rng.normal(1, 1, 700), rng.normal(5, 1, 700)),
+              "one": (np.array([3.5]), np.array([2.0])), "none": (np.array([]), np.array([]))}
+    rows = [(g, float(a), float(b)) for g, (x, y) in groups.items() for a, b in zip(x, y)] + [("none", None, None), ("hot", None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    groups["hot"] = (hot, np.append(groups["hot"][1], 1.0))
+    probs = [0.0, 0.005, 0.25, 0.5, 0.75, 0.995, 1.0]
+    got = {(r.g, r.column, r.p): r.value for r in ST.bracket_quantiles(df, ["x", "y"], probs, ["g"], accuracy=accuracy, few=few).collect()}
+    want = {(g, c, p): np.quantile(v, p) for g, (x, y) in groups.items() for c, v in (("x", x), ("y", y)) for p in probs if len(v)}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1e-9), k
+    alone = {(r.column, r.p): r.value for r in ST.bracket_quantiles(df, ["x"], probs, accuracy=accuracy, few=few).collect()}
+    every = np.concatenate([x for x, _ in groups.values()])
+    assert alone == {("x", p): pytest.approx(np.quantile(every, p), abs=1e-9) for p in probs}
+    assert ST.bracket_quantiles(df.limit(0), ["x"], probs).collect() == []
+
+
+def test_very_many_groups_take_the_range_layout(spark, monkeypatch):
+    monkeypatch.setattr(ST, "MAX_GROUPS", 3)
+    df = spark.range(50).selectExpr("id % 5 g", "cast(id as double) v")
+    assert ST.bracket_quantiles(df, ["v"], [0.5], ["g"]) is None
+    assert {r.g: r.value for r in ST.exact_quantiles(df, "v", [0.5], ["g"]).collect()} == {g: g + 22.5 for g in range(5)}
