@@ -33,6 +33,7 @@ from farelake.operators.joins import checked_broadcast
 from farelake.session import ensure_checkpoint_dir, shared_table
 
 MAX_GROUPS = 20_000    # whose brackets are broadcast
+ACCURACY = 2_000       # of the first sketch: its rank error is 1 / ACCURACY of the rows
 
 
 def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -103,7 +104,7 @@ def _with_brackets(df: DataFrame, rows: list, by: Sequence[str], table: list[dic
 
 
 def bracket_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), *,
-                      accuracy: int = 10_000, few: int = 200_000, rows: list | None = None) -> DataFrame | None:
+                      accuracy: int = ACCURACY, few: int = 20_000, rows: list | None = None) -> DataFrame | None:
     """Exact linear-interpolation quantiles: (*by, column, p, value), a row a
     group, column and probability; columns without a value in a group have none.
     ``rows`` may hold the sketches of an earlier pass. None if there are too many
@@ -379,7 +380,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = 2,
     cols, quartiles = list(cols), [0.25, 0.5, 0.75]
     simple = [a for i, c in enumerate(cols) for x in [F.col(c).cast("double")]
               for a in (F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"))]
-    rows = _sketches(df, cols, quartiles, [], 10_000, simple)  # one row
+    rows = _sketches(df, cols, quartiles, [], ACCURACY, simple)  # one row
     one = rows[0]
     if method == "exact":
         got = bracket_quantiles(df, cols, quartiles, rows=rows).collect()
