@@ -7,7 +7,7 @@ never sorts or moves the whole input.
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -60,24 +60,50 @@ def limit_rows(df: DataFrame, n: int, keys: Sequence[str] | None = None) -> Data
     return df.orderBy(*keys).limit(n) if keys else df.limit(n)
 
 
+DRAW_DIGITS = 13     # hexadecimal digits of a draw: 52 bits
+
+
+def priority(identity: Sequence[str], seed: int):
+    """A row's draw: the leading digits of a digest of its identity and the seed.
+    It depends on nothing else, so any engine and any split of the input agrees."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in identity], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, DRAW_DIGITS), 16, 10).cast("bigint")
+
+
 def sample_per_service(df: DataFrame, col: str = "service_type",
                        services: Sequence[str] = fixed.SERVICE_TYPES,
-                       fraction: float = 0.08, n: int = 1000, seed: int = 42) -> DataFrame:
+                       fraction: float = 0.08, n: int = 1000, seed: int = 42,
+                       identity: Sequence[str] | None = None) -> DataFrame:
     """Per service: a Bernoulli sample of at most ``n`` rows, the same for the
-    same seed and input splits.
-
-    Every row draws a seeded number. The services' row counts (one row each)
-    lower the fraction of large services to one that leaves ``n`` rows and six
-    standard deviations; of those the ``n`` smallest draws stay, so only about
-    ``n`` rows of a service reach one task, whatever the input.
+    same rows and seed, whatever the input's splits.
+
+    A row's draw is a hash of its ``identity`` (the raw row's where it is there,
+    else all columns) and the seed; draws below ``fraction`` stay, and of these
+    the ``n`` smallest of each service. Each task keeps its own ``n`` smallest
+    before anything is shuffled, so samples are mergeable: the sample of two
+    months is that of the months' samples (``merge_samples``). Rows of equal
+    identity share a draw and count one by one.
     """
-    wanted = df.where(F.col(col).isin(*services))
-    size = wanted.groupBy(F.col(col).alias("__s")).agg(F.count(F.lit(1)).alias("__c"))  # at most a row a service
-    enough = n + 6 * math.sqrt(n) + 36
-    drawn = wanted.withColumn("__r", F.rand(seed)).join(F.broadcast(size), F.col(col) == F.col("__s"))
-    drawn = drawn.where(F.col("__r") < F.least(F.lit(float(fraction)), F.lit(enough) / F.col("__c")))
-    best = Window.partitionBy(col).orderBy("__r")
-    return drawn.withColumn("__n", F.row_number().over(best)).where(F.col("__n") <= n).drop("__r", "__s", "__c", "__n")
+    if identity is None:
+        identity = ["src_file", "src_row"] if {"src_file", "src_row"} <= set(df.columns) else df.columns
+    drawn = df.where(F.col(col).isin(*services)).withColumn("__draw", priority(identity, seed))
+    drawn = drawn.where(F.col("__draw") < F.lit(int(fraction * 16 ** DRAW_DIGITS)))
+    return _smallest(drawn, col, identity, n).drop("__draw")
+
+
+def merge_samples(samples: Sequence[DataFrame], col: str = "service_type", n: int = 1000, seed: int = 42,
+                  identity: Sequence[str] | None = None) -> DataFrame:
+    """The sample of the union, from samples of its parts drawn with the same seed,
+    fraction, ``n`` and identity."""
+    both = reduce(lambda a, b: a.unionByName(b), samples)
+    identity = identity or (["src_file", "src_row"] if {"src_file", "src_row"} <= set(both.columns) else both.columns)
+    return _smallest(both.withColumn("__draw", priority(identity, seed)), col, identity, n).drop("__draw")
+
+
+def _smallest(drawn: DataFrame, col: str, identity: Sequence[str], n: int) -> DataFrame:
+    # a rank limit on a window is kept by each task before the shuffle (window group limit)
+    best = Window.partitionBy(col).orderBy("__draw", *identity)
+    return drawn.withColumn("__n", F.row_number().over(best)).where(F.col("__n") <= n).drop("__n")
 
 
 def ordered_category(df: DataFrame, col: str, order: Sequence, out: str = "sort_key") -> DataFrame:

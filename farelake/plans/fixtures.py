@@ -196,15 +196,16 @@ SELECT -s_suppkey AS id, s_name AS name, 'SUPPLIER' AS segment FROM supplier
 
 
 def rides(spark: SparkSession, d: str) -> DataFrame:
-    """Trips with their customer: order and line, pickup, customer, total."""
+    """Trips with their customer: service, order and line, pickup, customer, total."""
     li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.col("l_orderkey").alias("order_no"), F.col("l_linenumber").alias("line_no"), F.col("o_orderdate").alias("pickup_datetime"),
+        _service_case().alias("service_type"), F.col("l_orderkey").alias("order_no"), F.col("l_linenumber").alias("line_no"), F.col("o_orderdate").alias("pickup_datetime"),
         F.col("o_custkey").alias("customer"), (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("total_amount"))
 
 
 RIDES_SQL = """
-SELECT l_orderkey AS order_no, l_linenumber AS line_no, o_orderdate AS pickup_datetime, o_custkey AS customer,
+SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'yellowTaxi' WHEN '2-HIGH' THEN 'greenTaxi' WHEN '3-MEDIUM' THEN 'forHireVehicle'
+            WHEN '4-NOT SPECIFIED' THEN 'highVolumeForHire' ELSE 'other' END AS service_type, l_orderkey AS order_no, l_linenumber AS line_no, o_orderdate AS pickup_datetime, o_custkey AS customer,
        l_extendedprice * (1 + l_tax) AS total_amount
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from farelake import fixed
 from farelake.operators import aggregates as A
+from farelake.operators import audit as AU
 from farelake.operators import quality as Q
 from farelake.operators import stats as ST
 from farelake.operators import topk as K
 from farelake.plans import fixtures as fx
 from farelake.plans import screens as SC
-from farelake.plans.catalog import DUR, R, SEASON_PT, SQL_LIST, WE, WT, WZ, E, T, Z, register, rnd
+from farelake.plans.catalog import DUR, R, SEASON_PT, SQL_IN, SQL_LIST, WE, WT, WZ, E, T, Z, register, rnd
 from farelake.plans.q_sources import T_ORDER
 
 S2 = f"""{WT}, {WZ},
@@ -287,6 +288,29 @@ def q_removed_rows_audit(spark, d):
     return A.removed_rows_audit(t, Q.filter_time_order(Q.filter_positive(t, ["trip_distance"])))
 
 
+#: the cleaning rules as SQL that both engines read, in the order they are applied
+AUDIT_RULES = {"distance": "trip_distance > 0", "time_order": "dropoff_datetime > pickup_datetime", "passengers": "passenger_count > 0",
+               "location": "id_location_pickup > 0 AND id_location_dropoff > 0"}
+
+
+def _audit_sql() -> str:
+    bad = {r: f"NOT COALESCE({e}, FALSE)" for r, e in AUDIT_RULES.items()}
+    broken = " + ".join(f"CAST({e} AS INTEGER)" for e in bad.values())
+    rows, names = [], list(bad)
+    for i, r in enumerate(names):
+        before = " AND ".join([f"NOT ({bad[x]})" for x in names[:i]] + ["TRUE"])
+        rows.append(f"SELECT '{r}' AS rule, {i + 1} AS position, count_if({bad[r]}) AS n_broken, count_if({bad[r]} AND {broken} = 1) AS n_alone, "
+                    f"count_if({bad[r]} AND {before}) AS n_first, count(*) AS n_before, count_if({broken} = 0) AS n_after FROM t")
+    return f"{WT} " + " UNION ALL ".join(rows)
+
+
+@register("audit_rules", _audit_sql())
+def q_audit_rules(spark, d):
+    """Which rule removes which rows, counted while the kept rows are written."""
+    from farelake.plans.q_sources import scratch
+    return AU.write_audited(T(spark, d), AUDIT_RULES, scratch(spark, "audited"))
+
+
 @register("distinct_rows", f"{WT} SELECT DISTINCT * FROM t")
 def q_distinct_rows(spark, d):
     return A.distinct_rows(T(spark, d))
@@ -360,9 +384,18 @@ def q_limit_rows(spark, d):
     return K.limit_rows(t, 1000, t.columns)
 
 
-@register("sample_per_service")
+@register("sample_per_service", f"""WITH r AS ({fx.RIDES_SQL}),
+h AS (SELECT *, CAST('0x' || substr(md5(concat_ws('|', CAST(order_no AS VARCHAR), CAST(line_no AS VARCHAR), '42')), 1, 13) AS BIGINT) AS draw
+      FROM r WHERE service_type IN {SQL_IN(fixed.SERVICE_TYPES)})
+SELECT * EXCLUDE (draw) FROM h WHERE draw < {int(0.08 * 16 ** 13)}
+QUALIFY row_number() OVER (PARTITION BY service_type ORDER BY draw, order_no, line_no) <= 1000""")
 def q_sample_per_service(spark, d):
-    return K.sample_per_service(T(spark, d), fraction=0.08, n=1000, seed=42)
+    """Samples of each year, merged: the sample of all."""
+    rides, identity = fx.rides(spark, d), ["order_no", "line_no"]
+    lo, hi = rides.agg(F.min(F.year("pickup_datetime")), F.max(F.year("pickup_datetime"))).first()
+    years = [K.sample_per_service(Q.filter_year_in(rides, "pickup_datetime", [y]), fraction=0.08, n=1000, seed=42, identity=identity)
+             for y in range(lo, hi + 1)]
+    return K.merge_samples(years, n=1000, seed=42, identity=identity)
 
 
 @register("ordered_category", f"""{WT},
