@@ -85,9 +85,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
         last, sa = None, None
         for batch in batches:
             keep = []
-            for i, (a, ta, tb) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3))):
-                if a != last:
-                    last, sa = a, shingle_set(ta.as_buffer().to_pybytes(), words)
+            for ta, tb in zip(batch.column(2), batch.column(3)):
+                text = ta.as_buffer().to_pybytes()  # an id may have several texts
+                if text != last:
+                    last, sa = text, shingle_set(text, words)
                 sb = shingle_set(tb.as_buffer().to_pybytes(), words)
                 both = len(np.intersect1d(sa, sb, assume_unique=True))
                 keep.append(100 * both >= percent * (len(sa) + len(sb) - both))

@@ -264,3 +264,11 @@ def test_pipeline_stages(spark):
         assert name == "tokens" or out.columns == docs.columns
         docs = p.stage(out, f"test-{name}")
     assert 0 < docs.count() and set(docs.columns) == {"doc_id", "start", "n_tokens", "ids_crc32"}
+
+
+def test_near_components_of_an_id_with_several_texts(spark):
+    t = "a b c d e f g h i"
+    for other in ("zz yy xx", "a2 b2 c2 d2 e2 f2 g2 h2 i2 j2 k2"):
+        df = spark.createDataFrame([(1, t), (1, other), (3, t + " q")], "doc_id long, text string")
+        got = {(r.doc_id, r.component_id, r.kept) for r in o2.near_components(df, 2).collect()}
+        assert got == {(1, 1, True), (3, 1, False)}
