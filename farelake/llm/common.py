@@ -30,9 +30,15 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+BATCH_ROWS = "1000"       # texts are long: Spark's default batch of 10,000 rows takes tens of MB on both sides
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, as ``--py-files`` does; once a context."""
+    """Send this package to the Python workers, as ``--py-files`` does; once a
+    context. Arrow batches of rows become smaller, unless the session sets them."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if not getattr(sc, "_farelake_shipped", False):
         here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         base = os.path.join(tempfile.mkdtemp(prefix="farelake-py-"), "farelake_llm")

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_BYTES = 96 << 20       # of a Python worker
+CACHE_BYTES = 64 << 20       # of a Python worker
 PIECE_BYTES = 200            # of a cached piece beside its letters and ids
 LONG = 1 << 18               # characters of a text given to the tokenizer at once
 
