@@ -102,6 +102,6 @@ def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
     """Import every section (each registers its queries) and return the
     registry: (queries, oracle SQL). Safe to call more than once."""
     import importlib
-    for mod in ("q_sources", "q_rules", "q_analytics", "q_warehouse"):
+    for mod in ("q_sources", "q_rules", "q_analytics", "q_warehouse", "q_cubes", "q_heavy"):
         importlib.import_module(f"farelake.plans.{mod}")
     return QUERIES, ORACLE
