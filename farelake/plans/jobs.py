@@ -35,6 +35,7 @@ from farelake.operators import setops as S
 from farelake.functions.columns import code_label
 from farelake.operators.conform import cast_columns, conform_service
 from farelake.session import shared_table
+from farelake.sinks import distinct_store as DS
 from farelake.sinks import writers as W
 from farelake.sinks.commits import Transaction, read_table
 from farelake.sources import raw_files as RF
@@ -137,6 +138,15 @@ def job_unify_trips(spark: SparkSession, trusted_root: str, out: str, years=None
                   partition_cols=None)
 
 
+def job_unify_runs(spark: SparkSession, trusted_root: str, out: str, years=None, months=None, buckets: int = DS.BUCKETS) -> DataFrame:
+    """``job_unify_trips`` run by run: the rows of the chosen months that no
+    earlier run has stored are added, the history is not moved
+    (``sinks.distinct_store``). Returns the table."""
+    rows = conform_trusted(spark, trusted_root, years, months).drop("year", "month", "src_file", "src_row")
+    DS.add_distinct(spark, out, rows, buckets)
+    return DS.read_distinct(spark, out)
+
+
 def _update_coded_dim(tx: Transaction, name: str, trips: DataFrame, code: str, sk: str, label_col: str,
                       labels, default) -> DataFrame:
     codes = trips.select(F.col(code).cast("bigint").alias(code)).where(F.col(code).isNotNull()).distinct()

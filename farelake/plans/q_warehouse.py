@@ -281,6 +281,18 @@ def q_job_unify_trips(spark, d):
     return spark.read.parquet(out)
 
 
+@register("job_unify_trips_two_runs", f"SELECT DISTINCT * FROM ({_clean_conformed_sql()})")
+def q_job_unify_trips_two_runs(spark, d):
+    """The unify job for the first half of the years, then for all of them: rows
+    of the first run are found in the history and not added again."""
+    from farelake.plans.jobs import job_unify_runs
+    from farelake.plans.q_sources import scratch
+    trusted, out = trusted_from_trips(spark, d), scratch(spark, "unified-runs")
+    lo, hi = T(spark, d).agg(F.min(F.year("pickup_datetime")), F.max(F.year("pickup_datetime"))).first()
+    job_unify_runs(spark, trusted, out, range(lo, (lo + hi) // 2 + 1), buckets=16)
+    return job_unify_runs(spark, trusted, out, range(lo, hi + 1))
+
+
 @register("job_trusted_to_dw", FACT_SQL.replace(f"WITH c AS ({CONFORMED_SQL})", f"WITH c AS ({_clean_conformed_sql()})")
           .replace("SELECT dp.sk AS fk_payment_type", f"SELECT {KEYED_SQL}, dp.sk AS fk_payment_type"))
 def q_job_trusted_to_dw(spark, d):
