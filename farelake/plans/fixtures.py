@@ -346,14 +346,15 @@ def new_fields_sql(service: str) -> str:
 
 # ---- raw layer: monthly files, some of them faulty ------------------------------
 
-def write_raw_layer(spark: SparkSession, d: str, root: str, faults: bool = True) -> None:
+def write_raw_layer(spark: SparkSession, d: str, root: str, faults: bool = True,
+                    services=fixed.SERVICE_BY_FILE_PREFIX) -> None:
     """Monthly raw files of every service and month of the trips, in folders of
     their names. With ``faults``: yellow's first file is truncated, green's last
     one has a broken page, for-hire's first month has no file."""
     from farelake.sources.raw_files import list_files, logical_files
     from farelake.session import shared_table
     t = shared_table(trips(spark, d), "trips")
-    for prefix, service in fixed.SERVICE_BY_FILE_PREFIX.items():
+    for prefix, service in services.items():
         raw = raw_from_trips(t, service)
         ts = F.col(next(c for c in raw.columns if c.lower().endswith("pickup_datetime")))
         raw = raw.withColumns({"year": F.year(ts), "file": F.concat(F.lit(f"{prefix}_"), F.date_format(ts, "yyyy-MM"), F.lit(".parquet"))})

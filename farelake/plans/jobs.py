@@ -40,6 +40,7 @@ from farelake.sinks import writers as W
 from farelake.sinks.commits import Transaction, read_table
 from farelake.sources import raw_files as RF
 from farelake.sources import readers as RD
+from farelake.sources import registry as RG
 
 FILE_NAME_PATTERN = r"_(\d{4})-(\d{2})\.parquet"
 
@@ -51,8 +52,10 @@ def raw_file_path(raw_root: str, service: str, prefix: str, year: int, month: in
 def job_raw_to_trusted(spark: SparkSession, raw_root: str, trusted_root: str, years: Sequence[int],
                        months: Sequence[int] = range(1, 13), *,
                        services: Mapping[str, str] = fixed.SERVICE_BY_FILE_PREFIX,
-                       fhv_profile: str = "current", max_files: int | None = None, check_data: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Clean every wanted monthly file into ``trusted_root/<service>/year=/month=``.
+                       fhv_profile: str = "current", max_files: int | None = None, check_data: bool = False,
+                       only: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Clean every wanted monthly file into ``trusted_root/<service>/year=/month=``;
+    with ``only``, those of these file names.
 
     Returns (report, rejects): rows written per service/year/month (read
     back from the written partitions), and the months without a file or whose
@@ -65,6 +68,8 @@ def job_raw_to_trusted(spark: SparkSession, raw_root: str, trusted_root: str, ye
     """
     report, checks = None, None
     wanted = RF.wanted_files(spark, services, years, months)
+    if only is not None:
+        wanted = wanted.where(F.col("filename").isin(list(only)))
     for prefix, service in services.items():
         found = RF.logical_files(RF.list_files(spark, f"{raw_root.rstrip('/')}/{service}"))
         found = found.join(F.broadcast(wanted.where(F.col("prefix") == prefix)), ["prefix", "year", "month", "filename"], "left_semi")
@@ -109,6 +114,13 @@ def trusted_paths(trusted_root: str, services: Sequence[str] = fixed.SERVICE_TYP
     return {s: f"{trusted_root.rstrip('/')}/{s}" for s in services}
 
 
+def list_partitions(spark: SparkSession, path: str) -> list[str]:
+    """The year/month folders of a trusted service (a few dozen names)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/month=*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return ["/".join(s.getPath().toString().split("/")[-2:]) for s in found or []]
+
+
 def conform_trusted(spark: SparkSession, trusted_root: str, years=None, months=None,
                     extra_renames: Mapping[str, Mapping[str, str]] | None = None) -> DataFrame:
     """Read each service's trusted data (absent services skipped), conform and
@@ -116,7 +128,7 @@ def conform_trusted(spark: SparkSession, trusted_root: str, years=None, months=N
     own files."""
     parts = []
     for service, path in trusted_paths(trusted_root).items():
-        if not RD.path_exists(spark, path):
+        if not RD.path_exists(spark, path) or not list_partitions(spark, path):
             continue
         df = RD.scan_partitioned(spark, path, years, months, merge_schema=True)
         if "src_file" not in df.columns:
@@ -175,9 +187,10 @@ def _update_dim(tx: Transaction, name: str, fresh: DataFrame, natural: str, sk:
 
 def job_trusted_to_dw(spark: SparkSession, trusted_root: str, dw_root: str, years=None, months=None, *,
                       zones: DataFrame | None = None, companies: DataFrame | None = None,
-                      licences: DataFrame | None = None) -> DataFrame:
+                      licences: DataFrame | None = None, whole: bool = False) -> DataFrame:
     """Conform + union once (staged), dimensions (keys extended), fact by
-    year/month (only the months of this run are replaced), committed together:
+    year/month (only the months of this run are replaced; with ``whole`` also
+    those of ``years`` x ``months`` that have no trips any more), committed together:
     a run that stops on the way leaves the warehouse as it was
     (``sinks.commits``; tables are read by ``read_table``)."""
     dw = dw_root.rstrip("/")
@@ -203,11 +216,61 @@ def job_trusted_to_dw(spark: SparkSession, trusted_root: str, dw_root: str, year
     # source files are numbered once for all runs, so keys of different runs never meet
     files = _update_dim(tx, "source_files", trips.select("src_file").where("src_file is not null").distinct(), "src_file", "file_no")
 
-    tx.stage_partitions("fact_taxi_trip", FT.fact_trip(trips, vendor, payment, rate, service, comp, lic, files))
+    mine = [f"year={y}/month={m}" for y in years or () for m in months or ()] if whole else []
+    tx.stage_partitions("fact_taxi_trip", FT.fact_trip(trips, vendor, payment, rate, service, comp, lic, files), instead=mine)
     tx.commit()
     return read_table(spark, dw, "fact_taxi_trip", years, months)
 
 
+def job_load_changes(spark: SparkSession, raw_root: str, trusted_root: str, dw_root: str, *,
+                     services: Mapping[str, str] = fixed.SERVICE_BY_FILE_PREFIX, fhv_profile: str = "current",
+                     digest_new: bool = False, **dims) -> DataFrame:
+    """Bring trusted layer and warehouse up to the raw files' content; returns the
+    files with their ``state`` (``sources.registry``), ``rejected`` those that
+    can't be read.
+
+    New and changed files are cleaned again, the month of a file that is gone is
+    taken out of the trusted layer, and the fact's months they touch are replaced
+    whole: rows of a replaced or deleted file leave the fact. Other files are
+    not opened. A file that can't be read stays registered with what it had when it
+    could, if ever, so it comes up again; the rows its month had stay until then. The registry is committed last, so a
+    run that stops on the way finds the same work again. ``dims`` go to
+    ``job_trusted_to_dw``. A raw layer without any readable file is an error.
+    """
+    trusted, registry = trusted_root.rstrip("/"), f"{trusted_root.rstrip('/')}/_registry"
+    found = None
+    for service in services.values():
+        files = RF.list_files(spark, f"{raw_root.rstrip('/')}/{service}").withColumn("service_type", F.lit(service))
+        found = files if found is None else found.unionByName(files)
+    logical = RF.logical_files(found)
+    registered = RG.read_registry(spark, registry)
+    states = RG.file_states(spark, logical, registered, digest_new)
+    work = states.where(F.col("state").isin(*RG.TO_DO)).collect()      # a row a file
+    replaced = logical.join(F.broadcast(states.where(F.col("state") == RG.CHANGED).select("service_type", "filename")), ["service_type", "filename"], "left_semi")
+    checked = RF.data_faults(spark, _fixed(RF.footer_faults(spark, replaced)))
+    rejected = [r.filename for r in checked.where("error is not null").select("filename").distinct().collect()]
+    for w in work:      # where cleaning leaves nothing of a replaced file, nothing would overwrite its earlier rows
+        if w.state != RG.NEW and w.filename not in rejected:
+            W.drop_partition(spark, f"{trusted}/{w.service_type}", w.year, w.month)
+    load = [w for w in work if w.state != RG.GONE and w.filename not in rejected]
+    if load:
+        names = [w.filename for w in load]
+        _, rejects = job_raw_to_trusted(spark, raw_root, trusted, sorted({w.year for w in load}), sorted({w.month for w in load}),
+                                        services=services, fhv_profile=fhv_profile, only=names)
+        rejected += sorted({r.filename for r in rejects.collect()} & set(names))
+    done = [w for w in work if w.filename not in rejected]
+    by_year: dict[int, set[int]] = {}
+    for w in done:
+        by_year.setdefault(w.year, set()).add(w.month)
+    for months in {frozenset(m) for m in by_year.values()}:          # years that change in the same months go together
+        job_trusted_to_dw(spark, trusted, dw_root, sorted(y for y, m in by_year.items() if m == months), sorted(months),
+                          whole=True, **dims)
+    bad = F.col("filename").isin(rejected)
+    kept = states.where(~bad & (F.col("state") != RG.GONE)).drop("state")
+    RG.write_registry(spark, registry, kept.unionByName(registered.where(bad)))
+    return states.withColumn("state", F.when(bad, "rejected").otherwise(F.col("state")))
+
+
 def job_publish(spark: SparkSession, dw_root: str, url: str, options: Mapping[str, str] | None = None,
                 tables: Sequence[str] = ("dim_vendor", "dim_payment_type", "dim_rate", "dim_service_type", "dim_location",
                                          "dim_companies_hv", "dim_license_number", "dim_time", "fact_taxi_trip")) -> DataFrame:

@@ -363,3 +363,45 @@ def q_job_raw_to_trusted(spark, d):
 def q_ingest_rejects(spark, d):
     """The rejects of that job; the error without its details."""
     return raw_to_trusted(spark, d)[1].withColumn("error", F.substring_index("error", ":", 1))
+
+
+# ---- 2.13 loading what has changed ------------------------------------------------
+
+_STATE_SQL = f"""WITH c AS (SELECT service_type, year(pickup_datetime) AS year, month(pickup_datetime) AS month, count(*) AS n
+  FROM ({fx.TRIPS_SQL}) WHERE service_type IN ('greenTaxi', 'yellowTaxi') GROUP BY 1, 2, 3),
+e AS (SELECT service_type, min(year * 100 + month) AS lo, max(year * 100 + month) AS hi FROM c GROUP BY 1)"""
+
+
+@register("job_load_changes", f"""{_STATE_SQL}
+SELECT c.service_type, CAST(c.year AS INTEGER) AS year, CAST(c.month AS INTEGER) AS month,
+  CASE WHEN c.service_type = 'yellowTaxi' AND year * 100 + month = lo THEN 'changed'
+       WHEN c.service_type = 'greenTaxi' AND year * 100 + month = hi THEN 'gone' ELSE 'same' END AS state,
+  (SELECT count(*) FROM ({_clean_conformed_sql()}) f WHERE f.service_type = c.service_type
+     AND year(f.pickup_datetime) = c.year AND month(f.pickup_datetime) = c.month
+     AND NOT (c.service_type = 'greenTaxi' AND c.year * 100 + c.month = e.hi)
+     AND NOT (c.service_type = 'yellowTaxi' AND c.year * 100 + c.month = e.lo AND COALESCE(f.id_location_pickup % 2 = 0, FALSE))) AS trips
+FROM c JOIN e USING (service_type)""")
+def q_job_load_changes(spark, d):
+    """Yellow and green monthly files of the trips are loaded; then yellow's first
+    file is replaced by its trips from odd locations, green's last one is deleted,
+    and what has changed is loaded: each file's state and its trips in the fact."""
+    from farelake.plans.jobs import job_load_changes
+    from farelake.plans.q_sources import scratch
+    from farelake.session import shared_table
+    from farelake.sinks.commits import read_table
+    from farelake.sources import raw_files as RF
+    raw, trusted, dw = (scratch(spark, x) for x in ("raw", "trusted", "dw"))
+    services = {p: s for p, s in fixed.SERVICE_BY_FILE_PREFIX.items() if s in ("yellowTaxi", "greenTaxi")}
+    fx.write_raw_layer(spark, d, raw, faults=False, services=services)
+    job_load_changes(spark, raw, trusted, dw, services=services)
+    named = {s: RF.logical_files(RF.list_files(spark, f"{raw}/{s}")) for s in services.values()}
+    first = named["yellowTaxi"].orderBy("filename").first().path.rsplit("/", 1)[0]
+    odd = shared_table(spark.read.parquet(first).where("PULocationID % 2 <> 0 or PULocationID is null"), "odd")
+    odd.coalesce(1).write.mode("overwrite").parquet(first)
+    last = named["greenTaxi"].orderBy(F.desc("filename")).first().path.rsplit("/", 1)[0]
+    gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(last)
+    gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+    states = job_load_changes(spark, raw, trusted, dw, services=services)
+    fact = read_table(spark, dw, "fact_taxi_trip").groupBy("service_type", "year", "month").agg(F.count(F.lit(1)).alias("trips"))
+    return states.select("service_type", "year", "month", "state").join(fact, ["service_type", "year", "month"], "left").select(
+        "service_type", "year", "month", "state", F.coalesce("trips", F.lit(0)).alias("trips"))

@@ -104,6 +104,12 @@ def replace_partition(df: DataFrame, path: str, year: int, month: int) -> None:
     write_partitioned(part, path)
 
 
+def drop_partition(spark: SparkSession, path: str, year: int, month: int) -> bool:
+    """Delete one year/month partition; False where there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/year={int(year)}/month={int(month)}")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stamp_load_time(df: DataFrame, tz: str = "America/Sao_Paulo", now: _dt.datetime | None = None,
                     out: str = "load_datetime") -> DataFrame:
     """Wall-clock load time in ``tz`` (``timestamp_ntz``, independent of the
