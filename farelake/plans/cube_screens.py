@@ -21,21 +21,26 @@ from farelake.operators import cube as CU
 from farelake.operators import joins as J
 from farelake.operators import quality as Q
 from farelake.operators import setops as S
-from farelake.sinks.commits import Transaction, read_table
+from farelake.sinks.commits import Transaction, read_table, snapshot
 
 TABLE = "trip_cube"
+SHAPE = "trip_cube_shape"     # its columns, read while no month has cells
 
 
 def refresh_cube(spark: SparkSession, root: str, trips: DataFrame) -> int:
     """Commit the cells of ``trips`` below ``root``; the manifest's number."""
-    tx = Transaction(spark, root)
-    tx.stage_partitions(TABLE, CU.trip_cells(trips))
+    tx, cells = Transaction(spark, root), CU.trip_cells(trips)
+    if not tx.base.get(TABLE):
+        tx.stage(SHAPE, cells.limit(0))
+    tx.stage_partitions(TABLE, cells)
     return tx.commit()
 
 
 def read_cube(spark: SparkSession, root: str, years: Sequence[int] | None = None, months: Sequence[int] | None = None) -> DataFrame:
     """The committed cells, of all periods or of those chosen (only their folders
-    are listed)."""
+    are listed). Runs without trips leave a cube without cells."""
+    if not snapshot(spark, root.rstrip("/")).get(TABLE):
+        return read_table(spark, root, SHAPE)
     return read_table(spark, root, TABLE, years, months)
 
 

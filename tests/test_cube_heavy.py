@@ -72,9 +72,15 @@ def test_one_scan_and_small_exchange(spark):
     assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
-def test_empty_cube_and_flat_lines(spark):
-    empty = CU.trip_cells(_trips(spark).limit(0))
+def test_empty_cube_and_flat_lines(spark, tmp_dir):
+    trips = _trips(spark, 50)
+    empty = CU.trip_cells(trips.limit(0))
     assert empty.count() == 0
+    CS.refresh_cube(spark, tmp_dir, trips.limit(0))
+    _same(CS.demand(CS.read_cube(spark, tmp_dir)), SC.screen_demand(trips.limit(0)))
+    for part in (trips, trips.limit(0)):
+        CS.refresh_cube(spark, tmp_dir, part)
+    _same(CS.demand(CS.read_cube(spark, tmp_dir)), SC.screen_demand(trips))
     assert CU.merge_line(empty, "tip_duration").first().asDict() == {"slope": None, "intercept": None, "r2": None, "n": 0}
     at = datetime(2024, 1, 1)
     for tips, minutes in (([1.1] * 7, [3] * 7), ([0.1] * 7, list(range(1, 8))), ([0.3, 1.7], [5, 9])):
