@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 
 def limit_output_files(df: DataFrame, n: int) -> DataFrame:
-    """At most ``n`` output partitions (``coalesce``: no shuffle)."""
-    return df.coalesce(n)
+    """At most ``n`` output partitions. The rows are dealt out by a shuffle, so
+    what comes before (joins, sorts) keeps its own number of tasks: a ``coalesce``
+    would run all of it in ``n`` tasks."""
+    return df.repartition(n)
 
 
 def write_partitioned(df: DataFrame, path: str, year: int | None = None, month: int | None = None,

@@ -19,3 +19,14 @@ def test_wide_fact_counts_the_rows_of_each_key(spark, monkeypatch):
     got = QW.q_fact_trip_wide(spark, "")
     assert sorted(r.rows_of_key for r in got.collect()) == [1, 1, 2, 2]
     assert got.where(F.col("has_key")).count() == 4
+
+
+def test_few_output_files_leave_the_join_its_tasks(spark):
+    from farelake.sinks.writers import limit_output_files
+    a = spark.range(0, 2000, 1, 6).withColumn("x", F.col("id") % 7).hint("merge")
+    joined = a.join(spark.range(0, 3000, 1, 6), "id")
+    few = limit_output_files(joined, 2)
+    assert few.rdd.getNumPartitions() <= 2
+    assert sorted(few.collect()) == sorted(joined.collect())
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 2, true" in plan        # a shuffle of its own, above the join
