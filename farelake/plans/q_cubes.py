@@ -10,6 +10,7 @@ from farelake.plans import cube_screens as CS
 from farelake.plans import q_analytics  # noqa: F401  (its SQL is used below)
 from farelake.plans.catalog import ORACLE, T, Z, register, rnd
 from farelake.plans.q_sources import scratch
+from farelake.session import shared_table
 from farelake.sinks.commits import table_exists
 
 _STORED: dict[tuple[str, str], str] = {}
@@ -20,7 +21,9 @@ def stored_cells(spark, d):
     earlier pickup years, then a run that adds the later ones."""
     at = (spark.sparkContext.applicationId, d)
     if at not in _STORED or not table_exists(spark, _STORED[at], CS.TABLE):
-        root, t = scratch(spark, "cube"), T(spark, d)
+        root = scratch(spark, "cube")
+        # the joined trips are stored once for the two runs, with the columns that the cube reads
+        t = shared_table(T(spark, d).drop("id_vendor", "id_payment_type", "id_rate", "passenger_count"), "cube-trips")
         lo, hi = t.agg(F.min(F.year("pickup_datetime")), F.max(F.year("pickup_datetime"))).first()
         early = F.year("pickup_datetime") <= ((lo or 0) + (hi or 0)) // 2
         for part in (early, ~early):

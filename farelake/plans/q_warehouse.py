@@ -252,16 +252,23 @@ def _clean_conformed_sql() -> str:
     return "\nUNION ALL\n".join(yg + [fhv, hv])
 
 
-def trusted_from_trips(spark, d) -> str:
-    """A trusted layer built from the trips: each service's cleaning profile,
-    written partitioned by year/month under the shared folder; returns its root."""
+def stored_trips(spark, d):
+    """The trips, written once under the shared folder and read back."""
+    from farelake.plans.q_sources import scratch
+    staged = scratch(spark, "trips")
+    T(spark, d).write.parquet(staged)
+    return spark.read.parquet(staged)
+
+
+def trusted_from_trips(spark, d, t=None) -> str:
+    """A trusted layer built from the trips (``t``, where they are stored already):
+    each service's cleaning profile, written partitioned by year/month under the
+    shared folder; returns its root."""
     from farelake.functions import columns as C
     from farelake.operators.quality import apply_cleaning
     from farelake.plans.q_sources import scratch
     from farelake.sinks.writers import write_partitioned
-    staged = scratch(spark, "trips")
-    T(spark, d).write.parquet(staged)
-    t = spark.read.parquet(staged)
+    t = stored_trips(spark, d) if t is None else t
     trusted = scratch(spark, "trusted")
     for s in fixed.SERVICE_TYPES:
         raw = fx.raw_from_trips(t, s, full=True)
@@ -287,8 +294,9 @@ def q_job_unify_trips_two_runs(spark, d):
     of the first run are found in the history and not added again."""
     from farelake.plans.jobs import job_unify_runs
     from farelake.plans.q_sources import scratch
-    trusted, out = trusted_from_trips(spark, d), scratch(spark, "unified-runs")
-    lo, hi = T(spark, d).agg(F.min(F.year("pickup_datetime")), F.max(F.year("pickup_datetime"))).first()
+    t = stored_trips(spark, d)
+    trusted, out = trusted_from_trips(spark, d, t), scratch(spark, "unified-runs")
+    lo, hi = t.agg(F.min(F.year("pickup_datetime")), F.max(F.year("pickup_datetime"))).first()
     job_unify_runs(spark, trusted, out, range(lo, (lo + hi) // 2 + 1), buckets=16)
     return job_unify_runs(spark, trusted, out, range(lo, hi + 1))
 
@@ -331,8 +339,9 @@ def q_job_trusted_to_dw_two_runs(spark, d):
     from farelake.plans.jobs import job_trusted_to_dw
     from farelake.plans.q_sources import scratch
     from farelake.sinks.commits import read_table
-    trusted, dw = trusted_from_trips(spark, d), scratch(spark, "dw")
-    lo, hi = T(spark, d).agg(F.min(F.year("pickup_datetime")), F.max(F.year("pickup_datetime"))).first()
+    t = stored_trips(spark, d)
+    trusted, dw = trusted_from_trips(spark, d, t), scratch(spark, "dw")
+    lo, hi = t.agg(F.min(F.year("pickup_datetime")), F.max(F.year("pickup_datetime"))).first()
     for years in (range(lo, (lo + hi) // 2 + 1), range((lo + hi) // 2 + 1, hi + 1)):
         job_trusted_to_dw(spark, trusted, dw, years, companies=fx.companies(spark, d), licences=fx.licences(spark, d))
     return _keyed(read_table(spark, dw, "fact_taxi_trip"))
