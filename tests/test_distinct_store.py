@@ -56,3 +56,31 @@ def test_history_is_not_shuffled(spark, tmp_dir):
                     break
             assert above and not any("Exchange" in u for u in above), above
             assert "Bucketed: true" in line
+
+
+def test_buckets_follow_the_rows(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(DS, "ROWS", 100)
+    root = f"{tmp_dir}/store"
+    df = spark.range(3000).selectExpr("cast(id as int) a", "cast(id % 7 as string) b", "id * 0.5 x")
+    held = []
+    for upto in (1000, 1100, 3000, 3000):
+        DS.add_distinct(spark, root, df.where(f"a < {upto}"), buckets=4)
+        held.append(DS._layout(spark, root)["buckets"])
+        assert _rows(DS.read_distinct(spark, root)) == _rows(df.where(f"a < {upto}"))
+    assert held == [10, 10, 30, 30]
+    files = spark.table(DS._table(spark, root)).withColumn("f", F.input_file_name()).groupBy("f").count()
+    assert files.agg(F.max("count")).first()[0] < 200
+
+
+def test_a_run_stopped_while_dealing_out_anew_changes_nothing(spark, tmp_dir, monkeypatch):
+    root = f"{tmp_dir}/store"
+    df = spark.range(900).selectExpr("cast(id as int) a", "cast(id % 7 as string) b", "id * 0.5 x")
+    DS.add_distinct(spark, root, df.where("a < 500"), buckets=2)
+    monkeypatch.setattr(DS, "ROWS", 100)
+    with monkeypatch.context() as m:
+        m.setattr(DS, "_write_layout", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            DS.add_distinct(spark, root, df)
+    assert _rows(DS.read_distinct(spark, root)) == _rows(df.where("a < 500"))
+    DS.add_distinct(spark, root, df)
+    assert DS._layout(spark, root)["buckets"] == 9 and _rows(DS.read_distinct(spark, root)) == _rows(df)
