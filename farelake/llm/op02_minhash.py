@@ -19,7 +19,9 @@ decide.
   lists, whole sets for most. Their lists are built anew, and two whole sets
   meet only where the places of the shared value leave room for the overlap
   that the threshold asks of their sizes (positional filter), so variants of a
-  text that stay below the threshold seldom meet.
+  text that stay below the threshold seldom meet. Those that do are told apart
+  inside the join by the parities of ``PARITIES`` buckets of their full sets:
+  two sets differ in at least as many values as parities (no pair is lost).
 """
 
 from __future__ import annotations
@@ -36,24 +38,34 @@ from farelake.llm.common import components, discard, mix64, only_ids, shingle_se
 
 SIGMAS = 6.0
 FINE = 256           # values of a sketch in the second round
+PARITIES = 1024      # buckets, a multiple of 64
 
 
-def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
-    """(id, n, f1, f2, sketch): set size, 128-bit set fingerprint, the k smallest hashes."""
+def sketches(docs: DataFrame, words: int, k: int, parities: int = 0) -> DataFrame:
+    """(id, n, f1, f2, sketch): set size, 128-bit set fingerprint, the k smallest
+    hashes. Where ``parities`` is given, also (odd0, odd1, ...), 64 buckets of
+    the set's hashes each: whether the set holds an odd number of their values."""
+    odd = [f"odd{i}" for i in range(parities // 64)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, f1, f2, sk = [], [], [], []
-            for t in b.column(1):
+            n, f1, f2, sk, bits = [], [], [], [], np.zeros((b.num_rows, parities), bool)
+            for i, t in enumerate(b.column(1)):
                 s = shingle_set(t.as_buffer().to_pybytes() if t.is_valid else b"", words)
                 u = s.view(np.uint64)
                 n.append(len(s))
                 f1.append(int(mix64(u).sum(dtype=np.uint64).view(np.int64)))
                 f2.append(int(np.bitwise_xor.reduce(mix64(u + np.uint64(1)), initial=np.uint64(0)).view(np.int64)))
                 sk.append(s[:k])
+                if parities:
+                    bucket = mix64(u + np.uint64(2)) % np.uint64(parities)
+                    bits[i] = np.bincount(bucket.view(np.int64), minlength=parities) & 1
+            longs = np.packbits(bits, axis=1).view(np.int64).reshape(b.num_rows, len(odd))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-                 pa.array(sk, pa.list_(pa.int64()))], ["id", "n", "f1", "f2", "sketch"])
-    return docs.mapInArrow(run, "id long, n long, f1 long, f2 long, sketch array<long>")
+                 pa.array(sk, pa.list_(pa.int64())), *(pa.array(np.ascontiguousarray(longs[:, i])) for i in range(len(odd)))],
+                ["id", "n", "f1", "f2", "sketch", *odd])
+    return docs.mapInArrow(run, ", ".join(["id long, n long, f1 long, f2 long, sketch array<long>", *(f"{c} long" for c in odd)]))
 
 
 def least_overlap(k: int, percent: int) -> int:
@@ -145,13 +157,20 @@ def near_components(docs: DataFrame, words: int, percent: int = 80, k: int = 64,
         "value", "id", "n", "coalesce(root, id) comp")
     open_ = mixed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
     undecided = mixed.join(open_, "value", "left_semi").select("id")
-    fine = stage(sketches(only_ids(docs, undecided, "id"), words, FINE).where("n > 0").dropDuplicates(["id", "n"]), "op2-fine")
-    mixed = stage(inverted_lists(fine, FINE, percent).join(comp.selectExpr("node id", "root"), "id", "left").selectExpr(
-        "value", "id", "n", "place", "coalesce(root, id) comp"), "op2-mixed")
-    x, y = (mixed.selectExpr("value", f"id {i}", f"n n{i}", f"place p{i}", f"comp c{i}") for i in "xy")
+    fine = sketches(only_ids(docs, undecided, "id"), words, FINE, PARITIES).where("n > 0").dropDuplicates(["id", "n"])
+    fine = stage(fine, "op2-fine")
+    odd = [f"odd{i}" for i in range(PARITIES // 64)]
+    places = stage(inverted_lists(fine, FINE, percent).join(comp.selectExpr("node id", "root"), "id", "left").selectExpr(
+        "value", "id", "n", "place", "coalesce(root, id) comp"), "op2-places")
+    open_ = places.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
+    mixed = stage(places.join(open_, "value", "left_semi").join(fine.select("id", "n", *odd), ["id", "n"]), "op2-mixed")
+    discard(places)
+    x, y = (mixed.selectExpr("value", f"id {i}", f"n n{i}", f"place p{i}", f"comp c{i}", *(f"{c} {c}{i}" for c in odd)) for i in "xy")
     both = f"ceil({percent} * (nx + ny) / {100 + percent})"  # what whole sets at the threshold share
+    differ = " + ".join(f"bit_count({c}x ^ {c}y)" for c in odd)
     rest = (x.join(y, "value").where(f"cx < cy and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
             .where(f"greatest(nx, ny) > {FINE} or (px <= nx - {both} + 1 and py <= ny - {both} + 1)")
+            .where(f"{differ} <= nx + ny - 2 * {both}")
             .selectExpr("least(x, y) a", "greatest(x, y) b").distinct()
             .join(first, ["a", "b"], "left_anti"))
     links = links.unionByName(near(stage(rest, "op2-rest"), fine, FINE))

@@ -272,3 +272,21 @@ def test_near_components_of_an_id_with_several_texts(spark):
         df = spark.createDataFrame([(1, t), (1, other), (3, t + " q")], "doc_id long, text string")
         got = {(r.doc_id, r.component_id, r.kept) for r in o2.near_components(df, 2).collect()}
         assert got == {(1, 1, True), (3, 1, False)}
+
+
+def test_variants_below_the_threshold_seldom_meet(spark, monkeypatch):
+    """Variants of one text, most pairs well below the threshold, one pair above it."""
+    rng = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(400)]
+    rows = []
+    for v in range(60):
+        w = list(base)
+        for j in rng.choice(400, 40, replace=False):
+            w[j] = f"v{v}x{j}"
+        rows.append((v, " ".join(w)))
+    rows.append((60, rows[59][1] + " one more"))
+    tables, stage = {}, o2.stage
+    monkeypatch.setattr(o2, "stage", lambda df, tag, **o: tables.setdefault(tag, stage(df, tag, **o)) if tag == "op2-rest" else stage(df, tag, **o))
+    got = {r.doc_id: r.component_id for r in o2.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert got == {i: min(i, 59) for i, _ in rows}
+    assert tables["op2-rest"].count() < 60
