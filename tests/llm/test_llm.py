@@ -290,3 +290,19 @@ def test_variants_below_the_threshold_seldom_meet(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in o2.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
     assert got == {i: min(i, 59) for i, _ in rows}
     assert tables["op2-rest"].count() < 60
+
+
+@pytest.mark.parametrize("make", [lambda n: np.full(n, 7), lambda n: np.arange(n) % 2 * 65534, lambda n: np.random.default_rng(3).integers(0, 65535, n)])
+def test_coder_on_even_and_single_ids(make):
+    ids = make(9000)
+    s = coder.pack(ids)
+    assert np.array_equal(coder.unpack(s), ids) and np.array_equal(coder.unpack_block(s, 2), ids[8192:])
+
+
+def test_coder_counts_a_segment_once():
+    """Blocks share their segment's tables: little is lost against its order-0 frequencies."""
+    rng = np.random.default_rng(4)
+    ids = np.where(rng.random(200_000) < 0.3, 5, rng.zipf(1.3, 200_000) % 3000)
+    share = np.bincount(ids) / len(ids)
+    share = share[share > 0]
+    assert len(coder.pack(ids)) < 1.2 * -(share * np.log2(share)).sum() * len(ids) / 8
