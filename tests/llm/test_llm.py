@@ -3,6 +3,8 @@ tables and extra columns, against brute force or an exact round trip."""
 
 import base64
 import hashlib
+import os
+import tempfile
 import zlib
 
 import numpy as np
@@ -326,3 +328,16 @@ def test_coder_model_is_reset_by_block():
     assert all(np.array_equal(coder.unpack_block(s, i), ids[:4096]) for i in range(3))
     _, blocks = coder.encode(ids)
     assert len({b for b in blocks}) == 1
+
+
+def test_tokens_stage_mixes_orders(spark):
+    """What the pipeline's last stage writes is learned from each block, and read again whole."""
+    texts = [" ".join(["alpha beta alpha gamma"] * 3000), "one two " * 5000, None]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "x", "y") for i, t in enumerate(texts)], SCHEMA)
+    path = os.path.join(tempfile.mkdtemp(prefix="farelake-test-"), "tokens")
+    o10.write_tokens(docs, path)
+    bodies = [bytes(r.body) for r in spark.read.parquet(path).select("body").collect()]
+    got = o10.stage_tokens(spark, docs, "").orderBy("doc_id").collect()
+    assert [r.n_tokens for r in got] == [12_001, 10_001, 1]
+    assert [(r.start, r.ids_crc32) for r in got] == [(r.start, r.ids_crc32) for r in o10.read_tokens(spark, path).orderBy("doc_id").collect()]
+    assert sum(map(len, bodies)) < 700
